@@ -12,9 +12,9 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from corpusblocks.functions import text as tx
@@ -27,13 +27,6 @@ BYTE_PIECE = "<0x%02X>"
 N_BYTES = 256
 FIRST_LEARNED_ID = FIRST_BYTE_ID + N_BYTES
 
-MERGES_SCHEMA = T.StructType([
-    T.StructField("rank", T.IntegerType(), False),
-    T.StructField("left", T.StringType(), False),
-    T.StructField("right", T.StringType(), False),
-    T.StructField("freq", T.LongType(), False),
-])
-
 TOP_PAIRS = 200
 ROUNDS_PER_CUT = 8
 
@@ -194,8 +187,11 @@ def learn_merges(
 
 def merges_table(spark: SparkSession, merges: list[tuple[str, str, int]]) -> DataFrame:
     """``(rank, left, right, freq)``."""
-    rows = [(i, left, right, freq) for i, (left, right, freq) in enumerate(merges)]
-    return spark.createDataFrame(rows, MERGES_SCHEMA)
+    left, right, freq = ([m[i] for m in merges] for i in range(3))
+    return spark.createDataFrame(pa.table({
+        "rank": pa.array(range(len(merges)), pa.int32()), "left": pa.array(left, pa.string()),
+        "right": pa.array(right, pa.string()), "freq": pa.array(freq, pa.int64()),
+    }))
 
 
 def merged_pieces(merges: list[tuple[str, str, int]]) -> list[tuple[str, int]]:
@@ -208,36 +204,26 @@ def merged_pieces(merges: list[tuple[str, str, int]]) -> list[tuple[str, int]]:
 
 def vocabulary(
     spark: SparkSession,
-    alphabet: DataFrame,
+    alphabet: list[tuple[str, int]],
     merges: list[tuple[str, str, int]] = (),
     specials: dict[str, str] | None = None,
 ) -> DataFrame:
     """``(token_id, piece, kind, freq)``.
 
     Ids: reserved tokens, then the 256 byte pieces, then merges by rank, then
-    the alphabet by falling frequency.
+    the alphabet by falling frequency. ``alphabet`` and ``merges`` are as small
+    as the vocabulary, so the table is built on the driver.
     """
     specials = specials or special_tokens()
-    reserved = spark.createDataFrame(
-        [(i, specials[name], "special") for name, i in RESERVED.items()],
-        "token_id int, piece string, kind string",
-    ).withColumn("freq", F.lit(0).cast("bigint"))
-    byte = F.lpad(F.hex("id"), 2, "0")
-    byte_pieces = spark.range(N_BYTES).select(
-        (F.col("id") + FIRST_BYTE_ID).cast("int").alias("token_id"),
-        F.concat(F.lit("<0x"), byte, F.lit(">")).alias("piece"),
-        F.lit("byte").alias("kind"),
-        F.lit(0).cast("bigint").alias("freq"),
-    )
-    pieces = merged_pieces(list(merges))
-    learned = spark.createDataFrame(
-        [(FIRST_LEARNED_ID + i, piece, "merge", freq) for i, (piece, freq) in enumerate(pieces)],
-        "token_id int, piece string, kind string, freq bigint",
-    )
-    chars = alphabet.select(
-        (F.col("position") + FIRST_LEARNED_ID + len(pieces)).cast("int").alias("token_id"),
-        F.col("ch").alias("piece"),
-        F.lit("char").alias("kind"),
-        "freq",
-    )
-    return reserved.unionByName(byte_pieces).unionByName(learned).unionByName(chars)
+    reserved = sorted((i, specials[name]) for name, i in RESERVED.items())
+    entries = [
+        *((piece, "special", 0) for _, piece in reserved),
+        *((BYTE_PIECE % b, "byte", 0) for b in range(N_BYTES)),
+        *((piece, "merge", freq) for piece, freq in merged_pieces(list(merges))),
+        *((ch, "char", freq) for ch, freq in alphabet),
+    ]
+    piece, kind, freq = zip(*entries)
+    return spark.createDataFrame(pa.table({
+        "token_id": pa.array(range(len(entries)), pa.int32()),
+        "piece": pa.array(piece), "kind": pa.array(kind), "freq": pa.array(freq, pa.int64()),
+    }))

@@ -34,27 +34,28 @@ def train_tokenizer(
     ``vocab_size`` beside reserved tokens, byte pieces and alphabet.
     """
     specials = bpe.special_tokens(special_tokens)
-    words = materialize(bpe.word_counts(lines), "words")
-    alphabet = materialize(bpe.covered_alphabet(words, coverage), "alphabet")
-    covered = {r["ch"] for r in alphabet.select("ch").collect()}  # bounded by Unicode
+    spark = lines.sparkSession
+    words = bpe.word_counts(lines)
+    if merges != 0 or coverage < 1:
+        words = materialize(words, "words")  # read again below
+    # One row per distinct character: bounded by Unicode.
+    alphabet = [(r["ch"], r["freq"]) for r in bpe.covered_alphabet(words, coverage).orderBy("position").collect()]
     uncovered = None
     if coverage < 1:
         every = {r["ch"] for r in bpe.character_counts(words).select("ch").collect()}
-        uncovered = sorted(every - covered)
+        uncovered = sorted(every - {ch for ch, _ in alphabet})
     if merges is None:
-        room = vocab_size - bpe.FIRST_LEARNED_ID - len(covered)
+        room = vocab_size - bpe.FIRST_LEARNED_ID - len(alphabet)
         if room < 0:
             raise ValueError(
                 f"vocab_size {vocab_size} is too small: {bpe.FIRST_LEARNED_ID} reserved and byte "
-                f"pieces and {len(covered)} characters are needed"
+                f"pieces and {len(alphabet)} characters are needed"
             )
         learned = _fill(words, room, uncovered)
     else:
         learned = bpe.learn_merges(words, merges, uncovered) if merges else []
-    vocab = materialize(
-        bpe.vocabulary(words.sparkSession, alphabet, learned, specials).coalesce(1), "vocab"
-    )
-    size = bpe.FIRST_LEARNED_ID + len(bpe.merged_pieces(learned)) + len(covered)
+    vocab = bpe.vocabulary(spark, alphabet, learned, specials)
+    size = bpe.FIRST_LEARNED_ID + len(bpe.merged_pieces(learned)) + len(alphabet)
     return TrainedTokenizer(learned, vocab, size, codec.Tokenizer.of(learned, vocab))
 
 
