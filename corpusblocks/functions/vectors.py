@@ -68,7 +68,7 @@ def softmax(logits: Column) -> Column:
 
 def _ranking(probs: Column) -> Column:
     # Highest probability first, ties by ascending id.
-    return F.array_sort(F.transform(probs, lambda p, i: F.struct((-p).alias("n"), i.alias("id"))))
+    return F.sort_array(F.transform(probs, lambda p, i: F.struct((-p).alias("n"), i.alias("id"))))
 
 
 def _keep_ranked(probs: Column, kept: Column) -> Column:

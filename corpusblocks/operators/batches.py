@@ -79,6 +79,6 @@ def batches(plan: DataFrame, blocks: DataFrame) -> DataFrame:
     """
     joined = plan.join(blocks.select("split", "block_id", "tokens"), ["split", "block_id"])
     gathered = joined.groupBy("split", "epoch", "batch_no").agg(
-        F.array_sort(F.collect_list(F.struct("slot", "tokens"))).alias("rows")
+        F.sort_array(F.collect_list(F.struct("slot", "tokens"))).alias("rows")
     )
     return gathered.select("split", "epoch", "batch_no", F.col("rows.tokens").alias("rows"))

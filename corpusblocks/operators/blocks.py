@@ -111,8 +111,6 @@ def training_pairs(blocks: DataFrame) -> DataFrame:
 
 def next_token_rows(blocks: DataFrame, keep: Sequence[str] = ("split", "block_id")) -> DataFrame:
     """Long form: ``(…, input_id, target_id)``, one row per predicted token."""
-    pair = F.zip_with(
-        idf.inputs(F.col("tokens")), idf.targets(F.col("tokens")),
-        lambda a, b: F.struct(a.alias("input_id"), b.alias("target_id")),
-    )
-    return blocks.where(F.size("tokens") >= 2).select(*keep, F.inline(pair))
+    pairs = F.arrays_zip(idf.inputs(F.col("tokens")), idf.targets(F.col("tokens")))
+    rows = blocks.where(F.size("tokens") >= 2).select(*keep, F.inline(pairs))
+    return rows.toDF(*keep, "input_id", "target_id")

@@ -15,9 +15,10 @@ from corpusblocks.functions.ids import FIRST_BYTE_ID, UNK_ID, without_markers
 from corpusblocks.functions.text import WORD_MARK
 from corpusblocks.session import join_lookup
 
-# Distinct words a task remembers before it starts over; bounds its memory on
-# corpora whose words never repeat.
+# A task remembers this many words, none longer than CACHED_LENGTH, before it
+# starts over; bounds its memory on corpora whose words never repeat.
 CACHE_WORDS = 500_000
+CACHED_LENGTH = 64
 
 
 @dataclass(frozen=True)
@@ -50,7 +51,15 @@ def segmenter(tokenizer: Tokenizer):
         i = bisect_left(at, start)
         return at[i] if i < len(at) else None
 
-    def segment(word: str) -> array:
+    def replay_in_place(word: str) -> list[str]:
+        # Every merge is one pass in C: quick on words of any length.
+        s = "".join(f" {ch} " for ch in word)
+        for left, right in tokenizer.merges:
+            s = s.replace(f" {left}  {right} ", f" {left}{right} ")
+        return s[1:-1].split("  ")
+
+    def replay_by_rank(word: str) -> list[str]:
+        # Only merges present in the word are looked at: quick on short words.
         symbols, start = list(word), 0
         while len(symbols) > 1:
             todo = [(r, p) for p in zip(symbols, symbols[1:]) if (r := next_rank(p, start)) is not None]
@@ -66,6 +75,10 @@ def segmenter(tokenizer: Tokenizer):
                     merged.append(symbols[i])
                     i += 1
             symbols, start = merged, rank + 1
+        return symbols
+
+    def segment(word: str) -> array:
+        symbols = replay_by_rank(word) if len(word) <= CACHED_LENGTH else replay_in_place(word)
         out = array("i")
         for s in symbols:
             known = ids.get(s)
@@ -93,13 +106,16 @@ def encoder(tokenizer: Tokenizer):
             values, offsets = array("i"), array("i", [0])
             for line in batch.to_pylist():
                 for word in (line or "").split(" "):
-                    if word:
-                        found = cache.get(word)
-                        if found is None:
+                    if not word:
+                        continue
+                    found = cache.get(word)
+                    if found is None:
+                        found = segment(WORD_MARK + word)
+                        if len(word) <= CACHED_LENGTH:
                             if len(cache) >= CACHE_WORDS:
                                 cache.clear()
-                            found = cache[word] = segment(WORD_MARK + word)
-                        values.extend(found)
+                            cache[word] = found
+                    values.extend(found)
                 offsets.append(len(values))
             yield pa.ListArray.from_arrays(
                 pa.array(offsets, pa.int32()), pa.array(values, pa.int32())

@@ -12,10 +12,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from corpusblocks.functions import vectors as vec
 from corpusblocks.operators.blocks import next_token_rows
-from corpusblocks.session import join_lookup
+from corpusblocks.session import BROADCAST_ROWS, holds_at_most, join_lookup
 
 
 def neighbour_counts(blocks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -27,12 +28,11 @@ def neighbour_counts(blocks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 def target_model(counts: DataFrame, size: int) -> DataFrame:
     """``(target_id, p1)``: add-one probability of a token without context."""
     seen = counts.groupBy("target_id").agg(F.sum("n").alias("c"))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
     every = counts.sparkSession.range(size).select(F.col("id").cast("int").alias("target_id"))
-    # Both sides are as long as the vocabulary; the total is one row.
-    joined = every.join(F.broadcast(seen), "target_id", "left").join(F.broadcast(total))
-    p1 = (F.coalesce("c", F.lit(0)) + 1).cast("double") / (F.col("total") + size)
-    return joined.select("target_id", p1.alias("p1"))
+    # One row per token id on both sides.
+    joined = every.join(seen, "target_id", "left").select("target_id", F.coalesce("c", F.lit(0)).alias("c"))
+    total = F.sum("c").over(W.partitionBy())
+    return joined.select("target_id", ((F.col("c") + 1).cast("double") / (total + size)).alias("p1"))
 
 
 def context_totals(counts: DataFrame) -> DataFrame:
@@ -46,23 +46,33 @@ def _smoothed(n: Column, c: Column, p1: Column, k: float) -> Column:
 
 def next_token_model(counts: DataFrame, size: int, k: float = 1.0) -> DataFrame:
     """``(input_id, target_id, n, p)`` for all observed pairs."""
-    joined = join_lookup(counts, context_totals(counts), ["input_id"], bounded=False)
-    joined = join_lookup(joined, target_model(counts, size), ["target_id"], bounded=False)
+    few = size <= BROADCAST_ROWS
+    joined = join_lookup(counts, context_totals(counts), ["input_id"], bounded=few)
+    joined = join_lookup(joined, target_model(counts, size), ["target_id"], bounded=few)
     return joined.select(
         "input_id", "target_id", "n", _smoothed(F.col("n"), F.col("c"), F.col("p1"), k).alias("p")
     )
 
 
 def scored_pairs(pairs: DataFrame, counts: DataFrame, size: int, k: float = 1.0) -> DataFrame:
-    """Add ``nll`` to distinct ``(…, input_id, target_id, n)`` rows, seen in training or not."""
+    """Add ``nll`` to ``(…, input_id, target_id, n)`` rows, seen in training or not.
+
+    Tables of one row per token are broadcast while the vocabulary is small
+    enough; the table of pairs while their number is.
+    """
+    few = size <= BROADCAST_ROWS
     model = counts.select("input_id", "target_id", F.col("n").alias("_n"))
-    joined = join_lookup(pairs, model, ["input_id", "target_id"], "left")
-    joined = join_lookup(joined, context_totals(counts), ["input_id"], "left")
-    joined = join_lookup(joined, target_model(counts, size), ["target_id"], "inner")
+    joined = join_lookup(pairs, model, ["input_id", "target_id"], "left", bounded=_few_pairs(counts, size))
+    joined = join_lookup(joined, context_totals(counts), ["input_id"], "left", bounded=few)
+    joined = join_lookup(joined, target_model(counts, size), ["target_id"], "inner", bounded=few)
     p = _smoothed(F.col("_n"), F.col("c"), F.col("p1"), k)
     return joined.select(*pairs.columns, (-F.log(p)).alias("nll"))
 
 
+def _few_pairs(counts: DataFrame, size: int) -> bool:
+    return size * size <= BROADCAST_ROWS or holds_at_most(counts, BROADCAST_ROWS)
+
+
 def loss_columns(nll: Column, weight: Column) -> list[Column]:
     """``loss, perplexity, tokens`` aggregates; NaN, NaN, 0 over no tokens."""
     tokens = F.coalesce(F.sum(weight), F.lit(0)).cast("bigint")
@@ -71,10 +81,24 @@ def loss_columns(nll: Column, weight: Column) -> list[Column]:
 
 
 def evaluate(
-    blocks: DataFrame, counts: DataFrame, size: int, k: float = 1.0, by: Sequence[str] = ("split",)
+    blocks: DataFrame,
+    counts: DataFrame,
+    size: int,
+    k: float = 1.0,
+    by: Sequence[str] = ("split",),
+    few_groups: bool = True,
 ) -> DataFrame:
-    """Token-weighted mean loss and perplexity per group (of all tokens when ``by`` is empty)."""
-    pairs = neighbour_counts(blocks, by)
+    """Token-weighted mean loss and perplexity per group (of all tokens when ``by`` is empty).
+
+    With few groups, pairs are counted per group first and only the counts are
+    scored. With many groups, such as documents, that count would shuffle nearly
+    every token; there each token is scored where it is, as long as the model can
+    be broadcast, and only the sums per group are shuffled.
+    """
+    if few_groups or not _few_pairs(counts, size):
+        pairs = neighbour_counts(blocks, by)
+    else:
+        pairs = next_token_rows(blocks, keep=by).withColumn("n", F.lit(1))
     return scored_pairs(pairs, counts, size, k).groupBy(*by).agg(
         *loss_columns(F.col("nll"), F.col("n"))
     )
@@ -89,17 +113,21 @@ def vector_loss(scores: DataFrame, logits: str = "logits", target: str = "target
 def context_vectors(counts: DataFrame, size: int, k: float = 1.0) -> DataFrame:
     """``(input_id, logits)``: log-probabilities over the whole vocabulary, per context.
 
-    One row per token id, also for contexts never seen.
+    One row per token id, also for contexts never seen; a row is as long as the
+    vocabulary.
     """
-    spark = counts.sparkSession
-    p1 = target_model(counts, size).agg(F.sort_array(F.collect_list(F.struct("target_id", "p1"))).alias("v"))
-    p1 = p1.select(F.col("v.p1").alias("p1"))
+    every = counts.sparkSession.range(size).select(F.col("id").cast("int").alias("input_id"))
+    p1 = F.transform(
+        F.sort_array(F.collect_list(F.struct("target_id", "p1"))), lambda x: x["p1"]
+    )
+    # One row, joined by the constant key all contexts share.
+    shared = target_model(counts, size).groupBy(F.lit(0).alias("_one")).agg(p1.alias("p1"))
     seen = counts.groupBy("input_id").agg(
         F.sum("n").alias("c"),
         F.map_from_entries(F.collect_list(F.struct("target_id", "n"))).alias("by_target"),
     )
-    every = spark.range(size).select(F.col("id").cast("int").alias("input_id"))
-    rows = every.join(seen, "input_id", "left").join(F.broadcast(p1))
-    n = lambda i: F.get(F.col("by_target"), i)
-    logits = F.transform("p1", lambda p, i: F.log(_smoothed(n(i), F.col("c"), p, k)))
+    rows = every.join(seen, "input_id", "left").withColumn("_one", F.lit(0))
+    rows = rows.join(F.broadcast(shared), "_one")
+    n = F.col("by_target")
+    logits = F.transform("p1", lambda p, i: F.log(_smoothed(F.try_element_at(n, i), F.col("c"), p, k)))
     return rows.select("input_id", logits.alias("logits"))

@@ -67,7 +67,7 @@ def pack_blocks(
         .withColumn("shard_id", shard)
         .repartition(split, "shard_id")
         .groupBy(split, "shard_id", "block_id")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "ids"))).alias("pieces"))
+        .agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("pieces"))
         .withColumn("tokens", F.flatten("pieces.ids"))
         .where(F.size("tokens") == seq_len)
     )

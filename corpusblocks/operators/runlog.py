@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusblocks.operators.prefix import Order, dense_levels, exclusive_prefix
-from corpusblocks.session import join_lookup
+from corpusblocks.session import join_lookup, materialize
 
 
 def evaluation_rows(log: DataFrame, every: int) -> DataFrame:
@@ -16,7 +16,8 @@ def evaluation_rows(log: DataFrame, every: int) -> DataFrame:
 
 def save_rows(log: DataFrame, every: int) -> DataFrame:
     """Rows at multiples of ``every`` and at the last step of each run."""
-    last = log.groupBy("run_id").agg(F.max("step").alias("_last"))
+    # Written first, so that checking its size does not scan the log again.
+    last = materialize(log.groupBy("run_id").agg(F.max("step").alias("_last")), "last_steps")
     joined = join_lookup(log, last, ["run_id"])
     due = (F.col("step") % every == 0) | (F.col("step") == F.col("_last"))
     return joined.where(due).select(*log.columns)

@@ -10,10 +10,10 @@ from corpusblocks.functions import vectors as vec
 from corpusblocks.functions.seeded import bucket, uniform
 from corpusblocks.operators import batches as bat
 from corpusblocks.operators import blocks as blk
-from corpusblocks.operators import bpe, codec, likelihood, packing
+from corpusblocks.operators import bpe, codec, generation, likelihood, packing
 from corpusblocks.operators import runlog as log_ops
 from corpusblocks.plans import corpus
-from corpusblocks.session import materialize, scratch_path
+from corpusblocks.session import materialize, scratch_path, spread
 from corpusblocks.sources import artifacts, shards
 from corpusblocks.sources import documents as docs_src
 from corpusblocks.sources import runlog as log_src
@@ -31,6 +31,7 @@ CONTEXT = 64
 SMOOTHING = 1.0
 TEMPERATURE, TOP_K, TOP_P, PENALTY = 0.9, 40, 0.95, 1.05
 EVAL_EVERY, SAVE_EVERY = 200, 500
+NEW_TOKENS, SAMPLED_TOKENS = 8, 5
 CONFIG = {"k": 0, "n_layers": 7, "dropout": 0.5}
 
 
@@ -124,7 +125,8 @@ def prompt_contexts(spark, sf):
 
 
 def _prompts(spark, sf):
-    return spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "text")
+    prompts = spark.read.parquet(f"{sf}/conversations.parquet").select("conv_id", "turn", "text")
+    return spread(prompts, "conv_id", "turn")
 
 
 def training_pairs(spark, sf):
@@ -380,7 +382,7 @@ def loss_per_document(spark, sf):
     examples, trained = _examples(spark, sf)
     examples = examples.withColumnRenamed("ids", "tokens")
     counts = _trained_counts(examples)
-    metrics = likelihood.evaluate(examples, counts, trained.size, SMOOTHING, by=["doc_id"])
+    metrics = likelihood.evaluate(examples, counts, trained.size, SMOOTHING, by=["doc_id"], few_groups=False)
     return _rounded_loss(metrics)
 
 
@@ -453,6 +455,31 @@ def categorical_draw(spark, sf):
     return _sampled(spark, sf).select("ctx_id", vec.draw(F.col("v"), u).alias("token_id"))
 
 
+def _generation_input(spark, sf):
+    """Prompts of the conversations and a score vector per context."""
+    blocks, trained = _packed(spark, sf)
+    vectors = likelihood.context_vectors(_trained_counts(blocks), trained.size, SMOOTHING)
+    prompts = codec.encode_lines(_prompts(spark, sf), trained.tokenizer, "text")
+    prompts = prompts.withColumn("ids", idf.prompt_prefix(F.col("ids")))
+    return generation.prompt_context(prompts, SEQ_LEN), vectors, trained
+
+
+def greedy_continuation(spark, sf):
+    prompts, vectors, trained = _generation_input(spark, sf)
+    rows = generation.continue_greedy(prompts, vectors, trained.size, NEW_TOKENS)
+    text = codec.decode_ids(rows, trained.vocab, "generated")
+    return text.select("conv_id", "turn", F.array_join("generated", ",").alias("generated"), "text")
+
+
+def sampled_continuation(spark, sf):
+    prompts, vectors, trained = _generation_input(spark, sf)
+    rows = generation.continue_sampled(
+        prompts, vectors, trained.size, SAMPLED_TOKENS, ["conv_id", "turn"],
+        t=TEMPERATURE, k=TOP_K, p=0.6, penalty=PENALTY, seed=SEED,
+    )
+    return rows.select("conv_id", "turn", F.array_join("generated", ",").alias("generated"))
+
+
 def greedy_choice(spark, sf):
     return _scores(spark, sf).select("ctx_id", vec.argmax(F.col("logits")).alias("token_id"))
 
@@ -507,7 +534,7 @@ QUERIES = {
         block_lookup, block_fetch, shuffled_order, batch_sizes, batch_plan, evaluation_batches,
         batch_contents, next_token_counts, next_token_model, loss_per_split, loss_per_document,
         log_softmax, target_nll, vector_loss, temperature_scaling, repetition_penalty, softmax,
-        top_k_filter, top_p_filter, sampling_distribution, categorical_draw, greedy_choice,
+        top_k_filter, top_p_filter, sampling_distribution, categorical_draw, greedy_choice, greedy_continuation, sampled_continuation,
         evaluation_rows, save_rows, perplexity_improvements, best_checkpoint, last_checkpoint,
         runlog_sink, config_defaults,
     ]

@@ -189,6 +189,66 @@ _FULL_FILTER = _filters(
     f"logit / {c.TEMPERATURE} / CASE WHEN seen THEN {c.PENALTY} ELSE 1 END", c.TOP_K, c.TOP_P
 )
 
+_PROMPTS = f"""
+prompt_words AS (
+  SELECT conv_id, turn, array_to_string(list_transform(list_filter(string_split(text, ' '), lambda w: w <> ''),
+    lambda w: '{_MARK}' || w), '') AS marked FROM conversations),
+prompt_chars AS (
+  SELECT conv_id, turn, unnest(a) AS ch, unnest(range(len(a))) AS pos
+  FROM (SELECT conv_id, turn, regexp_extract_all(marked, '(?s).') AS a FROM prompt_words)),
+prompt_ids AS (
+  SELECT ch, coalesce(CASE WHEN token_id IS NULL THEN NULL ELSE [token_id] END, {_BYTES.format('ch')}) AS ids
+  FROM (SELECT DISTINCT ch FROM prompt_chars) LEFT JOIN
+    (SELECT piece, token_id FROM vocab WHERE kind = 'char') ON piece = ch),
+prompts AS MATERIALIZED (
+  SELECT conv_id, turn, list_concat([2], coalesce(flatten(list(ids ORDER BY pos) FILTER (ids IS NOT NULL)), [])) AS ids
+  FROM conversations LEFT JOIN prompt_chars USING (conv_id, turn) LEFT JOIN prompt_ids USING (ch) GROUP BY conv_id, turn)"""
+
+_DENSE = f"""
+dense AS MATERIALIZED (
+  SELECT t.token_id AS a, u.b, ln((coalesce(m.n, 0) + {c.SMOOTHING} * p1) / (coalesce(x.c, 0) + {c.SMOOTHING})) AS logit
+  FROM vocab t CROSS JOIN unigrams u LEFT JOIN bigrams m ON m.a = t.token_id AND m.b = u.b LEFT JOIN contexts x ON x.a = t.token_id),
+best AS MATERIALIZED (
+  SELECT a, b FROM dense QUALIFY row_number() OVER (PARTITION BY a ORDER BY logit DESC, b) = 1),
+s0 AS (SELECT conv_id, turn, ids[-1] AS last, CAST([] AS INT[]) AS gen, false AS done FROM prompts)"""
+
+
+def _next_state(i: int, choice: str) -> str:
+    return f"""
+s{i + 1} AS MATERIALIZED (
+  SELECT conv_id, turn, CASE WHEN ended THEN last ELSE b END AS last,
+    CASE WHEN ended THEN gen ELSE list_append(gen, b) END AS gen, ended AS done
+  FROM (SELECT s.*, b, done OR b = 3 AS ended FROM s{i} s {choice}))"""
+
+
+def _greedy_rounds(rounds: int) -> str:
+    return ",".join(_next_state(i, "LEFT JOIN best ON a = last") for i in range(rounds))
+
+
+def _sampled_rounds(rounds: int, top_p: float) -> str:
+    parts = []
+    for i in range(rounds):
+        over = "OVER (PARTITION BY conv_id, turn"
+        parts.append(f"""
+a{i} AS (
+  SELECT conv_id, turn, b, logit / {c.TEMPERATURE} / CASE WHEN list_contains(gen, b) THEN {c.PENALTY} ELSE 1 END AS x
+  FROM s{i} JOIN dense ON a = last WHERE NOT done),
+b{i} AS (SELECT conv_id, turn, b, exp(x - max(x) {over})) AS w FROM a{i}),
+c{i} AS (SELECT conv_id, turn, b, w / sum(w) {over}) AS p FROM b{i}),
+d{i} AS (SELECT *, row_number() {over} ORDER BY p DESC, b) AS rk FROM c{i}),
+e{i} AS (
+  SELECT conv_id, turn, b, p, rk, coalesce(sum(p) {over} ORDER BY rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_
+  FROM d{i} WHERE rk <= {c.TOP_K}),
+f{i} AS (SELECT conv_id, turn, b, p / sum(p) {over}) AS p FROM e{i} WHERE rk = 1 OR before_ < {top_p}),
+g{i} AS (
+  SELECT conv_id, turn, b, sum(p) {over} ORDER BY b) AS cdf,
+    CAST('0x' || substr(md5('{c.SEED}:{i}:' || conv_id || ':' || turn), 1, 13) AS BIGINT) / 4503599627370496.0 AS u FROM f{i}),
+h{i} AS MATERIALIZED (
+  SELECT conv_id, turn, coalesce(min(b) FILTER (cdf > u), max(b)) AS b FROM g{i} GROUP BY conv_id, turn)""")
+        parts.append(_next_state(i, f"LEFT JOIN h{i} USING (conv_id, turn)"))
+    return ",".join(parts)
+
+
 _LOG = """
 runlog AS (SELECT user_id AS run_id, event_id + 1 AS step, value AS perplexity FROM events)"""
 
@@ -226,20 +286,7 @@ def oracle_sql() -> dict[str, str]:
             "CAST(len(list_filter(ids, lambda x: x NOT IN (0, 2, 3))) AS INT) AS n_text_ids FROM examples", *_CODED),
         "prompt_contexts": _with(f"""
 SELECT conv_id, turn, CAST(len(ids) AS INT) AS n_ids, CAST(least(len(ids), {c.CONTEXT}) AS INT) AS n_context,
-  {_fp(f'ids[greatest(len(ids) - {c.CONTEXT} + 1, 1):]')} AS context
-FROM (
-  SELECT conv_id, turn, list_concat([2], coalesce(flatten(list(ids ORDER BY pos) FILTER (ids IS NOT NULL)), [])) AS ids
-  FROM prompt_chars LEFT JOIN prompt_ids USING (ch) GROUP BY conv_id, turn)""", *_trained(0), f"""
-prompt_words AS (
-  SELECT conv_id, turn, array_to_string(list_transform(list_filter(string_split(text, ' '), lambda w: w <> ''),
-    lambda w: '{_MARK}' || w), '') AS marked FROM conversations),
-prompt_chars AS (
-  SELECT conv_id, turn, unnest(a) AS ch, unnest(range(len(a))) AS pos
-  FROM (SELECT conv_id, turn, regexp_extract_all(marked, '(?s).') AS a FROM prompt_words)),
-prompt_ids AS (
-  SELECT ch, coalesce(CASE WHEN token_id IS NULL THEN NULL ELSE [token_id] END, {_BYTES.format('ch')}) AS ids
-  FROM (SELECT DISTINCT ch FROM prompt_chars) LEFT JOIN
-    (SELECT piece, token_id FROM vocab WHERE kind = 'char') ON piece = ch)"""),
+  {_fp(f'ids[greatest(len(ids) - {c.CONTEXT} + 1, 1):]')} AS context FROM prompts""", *_trained(0), _PROMPTS),
         "training_pairs": _with(
             f"SELECT split, block_id, {c.SEQ_LEN - 1} AS n, {_fp('tokens[1:len(tokens) - 1]')} AS inputs, "
             f"{_fp('tokens[2:]')} AS targets FROM blocks", *_PACKED),
@@ -345,6 +392,15 @@ SELECT ctx_id, coalesce(min(token_id) FILTER (cdf > u), max(token_id)) AS token_
 FROM (SELECT ctx_id, token_id, sum(p) OVER (PARTITION BY ctx_id ORDER BY token_id) AS cdf,
         CAST('0x' || substr(md5('{c.SEED}:0:' || ctx_id), 1, 13) AS BIGINT) / 4503599627370496.0 AS u FROM normed)
 GROUP BY ctx_id""", _SCORES, _FULL_FILTER),
+        "greedy_continuation": _with(f"""
+SELECT conv_id, turn, array_to_string(gen, ',') AS generated,
+  regexp_replace(replace(array_to_string(list_transform(list_filter(gen, lambda x: x NOT IN (0, 2, 3)),
+    lambda x: surface[x + 1]), ''), '{_MARK}', ' '), '^ ', '') AS text
+FROM s{c.NEW_TOKENS}, (SELECT list(piece ORDER BY token_id) AS surface FROM vocab)""",
+            *_PACKED, _model("blocks", "tokens", "split"), _PROMPTS, _DENSE, _greedy_rounds(c.NEW_TOKENS)),
+        "sampled_continuation": _with(
+            f"SELECT conv_id, turn, array_to_string(gen, ',') AS generated FROM s{c.SAMPLED_TOKENS}",
+            *_PACKED, _model("blocks", "tokens", "split"), _PROMPTS, _DENSE, _sampled_rounds(c.SAMPLED_TOKENS, 0.6)),
         "greedy_choice": _with(
             "SELECT ctx_id, token_id FROM scores QUALIFY row_number() OVER (PARTITION BY ctx_id ORDER BY logit DESC, token_id) = 1",
             _SCORES),
