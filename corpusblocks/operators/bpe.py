@@ -104,7 +104,9 @@ def apply_merges(symbols: Column, merges: list[tuple[str, str]]) -> Column:
 def pair_counts(symbols: DataFrame) -> DataFrame:
     """``(left, right, freq)``: how often two symbols are neighbours, weighted."""
     inner = F.col("symbols").substr(F.lit(2), F.length("symbols") - 2)
-    split = symbols.select(F.split(inner, "  ").alias("s"), "freq").where(F.size("s") > 1)
+    # Splitting at a single character needs no regular expression.
+    parts = F.split(F.replace(inner, F.lit("  "), F.lit(" ")), " ")
+    split = symbols.select(parts.alias("s"), "freq").where(F.size("s") > 1)
     neighbours = F.arrays_zip(
         F.slice("s", F.lit(1), F.size("s") - 1), F.slice("s", F.lit(2), F.size("s") - 1)
     )
@@ -122,10 +124,12 @@ def independent_batch(
 
     ``ranked`` are the best pairs by (freq desc, left, right); ``complete`` says
     that no pair is missing below them. Pairs of equal frequency are taken
-    together, and only while none of them is a self pair, shares a symbol with a
-    taken pair or spells a string that exists or is being built: then no taken
-    merge changes the count of another, and no new pair can overtake one. When
-    the first group already fails, its best pair alone is certain.
+    together, and only while no symbol stands left in one taken pair and right in
+    another and no pair spells a string that exists or is being built. Then two
+    taken pairs never compete for a symbol, so no merge changes the count of
+    another; and a pair new after merging (a, b) is at most as frequent as some
+    (x, a) or (b, y), which cannot be among the taken, so it ranks below them
+    all. When the first group already fails, its best pair alone is certain.
     """
     groups: dict[int, list[tuple[str, str, int]]] = {}
     for pair in ranked:
@@ -134,17 +138,17 @@ def independent_batch(
     if not complete:
         levels.pop()  # the end of the ranking may cut this group
     taken: list[tuple[str, str, int]] = []
-    used: set[str] = set()
+    lefts: set[str] = set()
+    rights: set[str] = set()
     spelled: set[str] = set(built)
     for level in levels:
-        symbols = [s for left, right, _ in level for s in (left, right)]
-        strings = [left + right for left, right, _ in level]
-        distinct = len(set(symbols)) == len(symbols) and len(set(strings)) == len(strings)
-        if not distinct or used & set(symbols) or spelled & set(strings):
+        lefts |= {left for left, _, _ in level}
+        rights |= {right for _, right, _ in level}
+        strings = {left + right for left, right, _ in level}
+        if lefts & rights or len(strings) < len(level) or spelled & strings:
             break
         taken += level
-        used |= set(symbols)
-        spelled |= set(strings)
+        spelled |= strings
     return (taken or ranked[:1])[:limit]
 
 

@@ -7,6 +7,7 @@ from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,7 +62,7 @@ def segmenter(tokenizer: Tokenizer):
     def replay_by_rank(word: str) -> list[str]:
         # Only merges present in the word are looked at: quick on short words.
         symbols, start = list(word), 0
-        while len(symbols) > 1:
+        while ranks and len(symbols) > 1:
             todo = [(r, p) for p in zip(symbols, symbols[1:]) if (r := next_rank(p, start)) is not None]
             if not todo:
                 break
@@ -117,8 +118,9 @@ def encoder(tokenizer: Tokenizer):
                             cache[word] = found
                     values.extend(found)
                 offsets.append(len(values))
+            # Through the buffers, not element by element.
             yield pa.ListArray.from_arrays(
-                pa.array(offsets, pa.int32()), pa.array(values, pa.int32())
+                pa.array(np.array(offsets, np.int32)), pa.array(np.array(values, np.int32))
             )
 
     return encode
