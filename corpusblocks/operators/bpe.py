@@ -28,7 +28,8 @@ N_BYTES = 256
 FIRST_LEARNED_ID = FIRST_BYTE_ID + N_BYTES
 
 TOP_PAIRS = 200
-ROUNDS_PER_CUT = 8
+# Merges replayed on the fly before the word table is written again.
+MERGES_PER_CUT = 20
 
 
 def special_tokens(names: str = "[PAD],[BOS],[EOS],[UNK]") -> dict[str, str]:
@@ -106,7 +107,7 @@ def pair_counts(symbols: DataFrame) -> DataFrame:
     inner = F.col("symbols").substr(F.lit(2), F.length("symbols") - 2)
     # Splitting at a single character needs no regular expression.
     parts = F.split(F.replace(inner, F.lit("  "), F.lit(" ")), " ")
-    split = symbols.select(parts.alias("s"), "freq").where(F.size("s") > 1)
+    split = symbols.select(parts.alias("s"), "freq")
     neighbours = F.arrays_zip(
         F.slice("s", F.lit(1), F.size("s") - 1), F.slice("s", F.lit(2), F.size("s") - 1)
     )
@@ -159,8 +160,9 @@ def learn_merges(
 
     Each round is one Spark job: count neighbours over the word table and bring
     the ``top_pairs`` best to the driver, which picks every merge that is already
-    certain. The word table is written to shared storage every few rounds, which
-    bounds both the plan and what a lost executor costs.
+    certain. The word table is written to shared storage after some merges,
+    without the words that have become a single symbol; that bounds the plan, the
+    replaying and what a lost executor costs.
     """
     spark = words.sparkSession
     table = symbol_table(words, uncovered).repartition(task_count(spark), "symbols")
@@ -168,11 +170,11 @@ def learn_merges(
     merges: list[tuple[str, str, int]] = []
     built: set[str] = set()
     pending: list[tuple[str, str]] = []
-    rounds = 0
     while len(merges) < count:
-        current = table.select(apply_merges(F.col("symbols"), pending).alias("symbols"), "freq")
-        if rounds and rounds % ROUNDS_PER_CUT == 0:
-            table = current = materialize(current, "symbols")
+        current = table.withColumn("symbols", apply_merges(F.col("symbols"), pending))
+        if len(pending) >= MERGES_PER_CUT:
+            unfinished = current.where(F.col("symbols").contains("  "))
+            table = current = materialize(unfinished, "symbols")
             pending = []
         best = (
             pair_counts(current)
@@ -185,7 +187,6 @@ def learn_merges(
         merges += batch
         pending += [(left, right) for left, right, _ in batch]
         built |= {left + right for left, right, _ in batch}
-        rounds += 1
     return merges
 
 
