@@ -219,13 +219,22 @@ def vocabulary(
     the alphabet by falling frequency. ``alphabet`` and ``merges`` are as small
     as the vocabulary, so the table is built on the driver.
     """
+    learned = [
+        *((piece, "merge", freq) for piece, freq in merged_pieces(list(merges))),
+        *((ch, "char", freq) for ch, freq in alphabet),
+    ]
+    return vocabulary_table(spark, learned, specials)
+
+
+def vocabulary_table(
+    spark: SparkSession, learned: list[tuple[str, str, int]], specials: dict[str, str] | None = None
+) -> DataFrame:
+    """Vocabulary of reserved tokens, byte pieces and ``(piece, kind, freq)`` entries in id order."""
     specials = specials or special_tokens()
-    reserved = sorted((i, specials[name]) for name, i in RESERVED.items())
     entries = [
-        *((piece, "special", 0) for _, piece in reserved),
+        *((specials[name], "special", 0) for name in sorted(RESERVED, key=RESERVED.get)),
         *((BYTE_PIECE % b, "byte", 0) for b in range(N_BYTES)),
-        *((piece, "merge", freq) for piece, freq in merged_pieces(list(merges))),
-        *((ch, "char", freq) for ch, freq in alphabet),
+        *learned,
     ]
     piece, kind, freq = zip(*entries)
     return spark.createDataFrame(pa.table({

@@ -37,6 +37,9 @@ class Tokenizer:
             tuple((m[0], m[1]) for m in merges), {r["piece"]: r["token_id"] for r in rows}
         )
 
+    def segmenter(self):
+        return segmenter(self)
+
 
 def segmenter(tokenizer: Tokenizer):
     """Function from a marked word to its ids, by replaying the merges in order."""
@@ -92,9 +95,11 @@ def segmenter(tokenizer: Tokenizer):
     return segment
 
 
-def encoder(tokenizer: Tokenizer):
+def encoder(tokenizer):
     """Arrow function on a text column: stripped line → ids, without markers.
 
+    ``tokenizer`` offers ``segmenter()``, a function from a marked word to ids.
+
     Words repeat, so each task segments a word once and copies its ids from then
     on. That needs no shuffle of word occurrences, which a join against a table
     of encoded words would.
@@ -102,7 +107,7 @@ def encoder(tokenizer: Tokenizer):
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        segment, cache = segmenter(tokenizer), {}
+        segment, cache = tokenizer.segmenter(), {}
         for batch in batches:
             values, offsets = array("i"), array("i", [0])
             for line in batch.to_pylist():

@@ -25,6 +25,7 @@ BLOCKS_PER_SHARD = 1024
 MERGES = 24
 ENCODE_MERGES = 12
 COVERAGE = 0.98
+UNIGRAM_SIZE, UNIGRAM_SEEDS = 1024, 2000
 EPOCH = 1
 MAX_BATCHES = 50
 CONTEXT = 64
@@ -235,6 +236,23 @@ def roundtrip_audit(spark, sf):
     )
 
 
+def _unigram(lines):
+    return corpus.train_tokenizer(
+        corpus.training_lines(lines), vocab_size=UNIGRAM_SIZE, model_type="unigram", seed_size=UNIGRAM_SEEDS
+    )
+
+
+def unigram_vocabulary(spark, sf):
+    return _unigram(_lines(spark, sf)).vocab
+
+
+def unigram_roundtrip(spark, sf):
+    lines = _lines(spark, sf)
+    trained = _unigram(lines)
+    encoded = codec.encode_lines(lines, trained.tokenizer)
+    return codec.decode_ids(encoded, trained.vocab).select("doc_id", "line_no", "text")
+
+
 def tokenizer_metadata(spark, sf):
     trained = _tokenizer(_lines(spark, sf), ENCODE_MERGES)
     prefix = scratch_path(spark, "tokenizer")
@@ -529,7 +547,7 @@ QUERIES = {
         marker_free_blocks, word_frequencies, symbol_pairs, bpe_merges, character_coverage,
         vocabulary_characters, vocabulary_merges, encode_characters, encode_merges,
         encode_byte_fallback, decode_lines, decode_blocks, piece_lookup, id_lookup,
-        roundtrip_audit, tokenizer_metadata, split_token_yield, merged_token_yield,
+        roundtrip_audit, unigram_vocabulary, unigram_roundtrip, tokenizer_metadata, split_token_yield, merged_token_yield,
         packed_blocks, shard_sink, shard_manifest, split_manifest, shard_checks, shard_offsets,
         block_lookup, block_fetch, shuffled_order, batch_sizes, batch_plan, evaluation_batches,
         batch_contents, next_token_counts, next_token_model, loss_per_split, loss_per_document,

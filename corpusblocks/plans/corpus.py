@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusblocks.operators import bpe, codec, packing
+from corpusblocks.operators import bpe, codec, packing, unigram
 from corpusblocks.operators.prefix import Order
 from corpusblocks.session import materialize
 from corpusblocks.sources import documents as docs_src
@@ -18,7 +18,7 @@ class TrainedTokenizer:
     merges: list[tuple[str, str, int]]
     vocab: DataFrame
     size: int
-    tokenizer: codec.Tokenizer
+    tokenizer: codec.Tokenizer | unigram.UnigramTokenizer
 
 
 def train_tokenizer(
@@ -27,15 +27,25 @@ def train_tokenizer(
     vocab_size: int = 1024,
     coverage: float = 1.0,
     special_tokens: str = "[PAD],[BOS],[EOS],[UNK]",
+    model_type: str = "bpe",
+    seed_size: int = unigram.SEED_SIZE,
 ) -> TrainedTokenizer:
     """Learn a vocabulary from the ``line`` column of a training split.
 
     ``merges`` fixes the number of merges; otherwise as many are learned as fit
-    ``vocab_size`` beside reserved tokens, byte pieces and alphabet.
+    ``vocab_size`` beside reserved tokens, byte pieces and alphabet. The
+    ``unigram`` model starts from ``seed_size`` candidate pieces instead.
     """
     specials = bpe.special_tokens(special_tokens)
     spark = lines.sparkSession
     words = bpe.word_counts(lines)
+    if model_type == "unigram":
+        pieces = unigram.learn_unigram(words, vocab_size - bpe.FIRST_LEARNED_ID, coverage, seed_size)
+        vocab = bpe.vocabulary_table(spark, [(p, "piece", 0) for p, _ in pieces], specials)
+        tokenizer = unigram.UnigramTokenizer.of(pieces, bpe.FIRST_LEARNED_ID)
+        return TrainedTokenizer([], vocab, bpe.FIRST_LEARNED_ID + len(pieces), tokenizer)
+    if model_type != "bpe":
+        raise ValueError(f"model_type must be 'bpe' or 'unigram', got {model_type!r}")
     if merges != 0 or coverage < 1:
         words = materialize(words, "words")  # read again below
     # One row per distinct character: bounded by Unicode.

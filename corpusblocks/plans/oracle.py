@@ -307,6 +307,8 @@ SELECT conv_id, turn, CAST(len(ids) AS INT) AS n_ids, CAST(least(len(ids), {c.CO
         "encode_byte_fallback": _with(_ENCODED_REPORT, *_trained(0, c.COVERAGE), _ENCODE),
         "decode_lines": _with(
             f"SELECT doc_id, line_no, replace({_SINGLE_SPACED}, '{_MARK}', ' ') AS text FROM lines", _LINES),
+        "unigram_roundtrip": _with(
+            f"SELECT doc_id, line_no, replace({_SINGLE_SPACED}, '{_MARK}', ' ') AS text FROM lines", _LINES),
         "decode_blocks": _with(f"""
 SELECT split, block_id, md5(regexp_replace(array_to_string(list_transform(
     list_filter(tokens, lambda x: x NOT IN (0, 2, 3)), lambda x: surface[x + 1]), ''), '^ ', '')) AS text
