@@ -12,11 +12,14 @@ from corpusblocks.operators.prefix import Order, dense_levels, exclusive_prefix
 from corpusblocks.sources.shards import shard_name
 
 
-def shard_manifest(blocks: DataFrame) -> DataFrame:
-    """One row per shard: ``(split, shard_id, shard, blocks, seq_len)``."""
+def shard_manifest(blocks: DataFrame, seq_len: int | None = None) -> DataFrame:
+    """One row per shard: ``(split, shard_id, shard, blocks, seq_len)``.
+
+    With ``seq_len`` given, as the packer knows it, no token is read.
+    """
+    length = F.max(F.size("tokens")) if seq_len is None else F.lit(seq_len)
     per_shard = blocks.groupBy("split", "shard_id").agg(
-        F.count("*").alias("blocks"),
-        F.max(F.size("tokens")).alias("seq_len"),
+        F.count("*").alias("blocks"), length.alias("seq_len")
     )
     return per_shard.select(
         "split", "shard_id", shard_name(F.col("split"), F.col("shard_id")).alias("shard"),
@@ -24,13 +27,13 @@ def shard_manifest(blocks: DataFrame) -> DataFrame:
     )
 
 
-def split_manifest(blocks: DataFrame) -> DataFrame:
+def split_manifest(blocks: DataFrame, seq_len: int | None = None) -> DataFrame:
     """One row per split: ``(split, blocks, seq_len, shards)``.
 
     Shard names stay rows of ``shard_manifest``: a list of them would grow with
     the corpus inside one cell.
     """
-    return shard_manifest(blocks).groupBy("split").agg(
+    return shard_manifest(blocks, seq_len).groupBy("split").agg(
         F.sum("blocks").alias("blocks"),
         F.max("seq_len").alias("seq_len"),
         F.count("*").alias("shards"),

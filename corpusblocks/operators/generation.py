@@ -31,7 +31,9 @@ def _continue(prompts: DataFrame, table: DataFrame, size: int, width: int, round
     fits = size * max(width, 1) * 8 <= BROADCAST_BYTES
     for step in range(rounds):
         # Not broadcast, a table joins by salted keys: many prompts share a last token.
-        joined = join_lookup(state, table, ["_last"], bounded=fits, max_rows=0)
+        # An inner join would add a null test on the last token below every earlier
+        # round, and with it a second evaluation of each choice.
+        joined = join_lookup(state, table, ["_last"], "left", bounded=fits, max_rows=0)
         joined = joined.withColumn("_next", F.when(~F.col("_done"), choose(step)))
         ended = F.col("_done") | (F.col("_next") == EOS_ID)
         state = joined.withColumn("_ended", ended).select(

@@ -297,7 +297,10 @@ def shard_sink(spark, sf):
 
 
 def shard_manifest(spark, sf):
-    return blk.shard_manifest(_packed(spark, sf)[0])
+    blocks, _ = _stored(spark, sf)
+    path = scratch_path(spark, "index")
+    shards.write_manifest(blk.shard_manifest(blocks, SEQ_LEN), path)
+    return shards.read_manifest(spark, path)
 
 
 def split_manifest(spark, sf):

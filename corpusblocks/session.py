@@ -34,8 +34,12 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the scratch root."""
-    return f"{scratch_root(spark)}/corpusblocks/{uuid.uuid4().hex}/{name}"
+    """A fresh path below the scratch root, in a folder of the running application.
+
+    Tables stay until that folder is deleted, since results read them lazily.
+    """
+    app = spark.sparkContext.applicationId
+    return f"{scratch_root(spark)}/corpusblocks-{app}/{uuid.uuid4().hex}/{name}"
 
 
 def task_count(spark: SparkSession) -> int:
@@ -83,7 +87,8 @@ def join_lookup(
     A lookup within ``max_rows`` (checked, unless the caller vouches for it with
     ``bounded``) is broadcast. A larger one is joined by a shuffle in which every
     key is spread over ``SALTS`` tasks, so a key holding a large share of
-    ``left`` does not end in one task. ``how`` is ``inner`` or ``left``.
+    ``left`` does not end in one task. Equal rows share a salt: aggregate copies
+    before joining. ``how`` is ``inner`` or ``left``.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")

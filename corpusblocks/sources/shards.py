@@ -49,3 +49,15 @@ def read_shards(spark: SparkSession, path: str, split: str | None = None) -> Dat
         if blocks.isEmpty():
             raise FileNotFoundError(f"no shards of split {split!r} under {path}")
     return blocks
+
+
+def write_manifest(manifest: DataFrame, path: str) -> None:
+    """Write a manifest as JSON lines, one per shard or split."""
+    manifest.write.mode("overwrite").json(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """A shard manifest read back: ``(split, shard_id, shard, blocks, seq_len)``."""
+    return spark.read.schema(
+        "split string, shard_id long, shard string, blocks long, seq_len int"
+    ).json(path)
