@@ -72,6 +72,15 @@ def batch_plan(
     return plan
 
 
+def first_blocks(blocks: DataFrame, size: int, max_batches: int | None) -> DataFrame:
+    """Blocks of the first ``max_batches`` batches in stored order; all of them for ``None``.
+
+    Stored block ids count from 0 in each split, so this is a filter the scan can
+    use to skip row groups.
+    """
+    return blocks if max_batches is None else blocks.where(F.col("block_id") < size * max_batches)
+
+
 def batches(plan: DataFrame, blocks: DataFrame) -> DataFrame:
     """``(split, epoch, batch_no, rows)``: token arrays of each batch in slot order.
 

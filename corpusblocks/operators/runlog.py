@@ -51,3 +51,15 @@ def last_rows(log: DataFrame) -> DataFrame:
     rest = [c for c in log.columns if c != "run_id"]
     picked = log.groupBy("run_id").agg(F.max_by(F.struct(*rest), "step").alias("r"))
     return picked.select("run_id", *[F.col(f"r.{c}").alias(c) for c in rest])
+
+
+def checkpoint_records(log: DataFrame, eval_every: int, save_every: int, metric: str = "perplexity") -> DataFrame:
+    """The records a run leaves behind: ``(kind, …log columns)``, kind best, last or summary.
+
+    Best is chosen among evaluated steps, last among saved steps; the summary
+    holds the final step only.
+    """
+    best = best_rows(evaluation_rows(log, eval_every), metric).withColumn("kind", F.lit("best"))
+    last = last_rows(save_rows(log, save_every)).withColumn("kind", F.lit("last"))
+    steps = log.groupBy("run_id").agg(F.max("step").alias("step")).withColumn("kind", F.lit("summary"))
+    return best.unionByName(last).unionByName(steps, allowMissingColumns=True).select("kind", *log.columns)

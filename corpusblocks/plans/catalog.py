@@ -27,7 +27,7 @@ ENCODE_MERGES = 12
 COVERAGE = 0.98
 UNIGRAM_SIZE, UNIGRAM_SEEDS = 1024, 2000
 EPOCH = 1
-MAX_BATCHES = 50
+MAX_BATCHES, EVAL_BATCHES = 50, 2
 CONTEXT = 64
 SMOOTHING = 1.0
 TEMPERATURE, TOP_K, TOP_P, PENALTY = 0.9, 40, 0.95, 1.05
@@ -269,14 +269,19 @@ def tokenizer_metadata(spark, sf):
 
 # Packing and shards
 
+def _token_yield(spark, sf, merges):
+    # Lengths are read once, so the encoded examples need not be stored.
+    lines = _lines(spark, sf)
+    encoded = codec.encode_lines(lines, _tokenizer(lines, merges).tokenizer)
+    return packing.packing_totals(packing.wrap_examples(encoded), SEQ_LEN)
+
+
 def split_token_yield(spark, sf):
-    examples, _ = _examples(spark, sf)
-    return packing.packing_totals(examples, SEQ_LEN)
+    return _token_yield(spark, sf, 0)
 
 
 def merged_token_yield(spark, sf):
-    examples, _ = _examples(spark, sf, ENCODE_MERGES)
-    return packing.packing_totals(examples, SEQ_LEN)
+    return _token_yield(spark, sf, ENCODE_MERGES)
 
 
 def packed_blocks(spark, sf):
@@ -399,6 +404,13 @@ def loss_per_split(spark, sf):
     return _rounded_loss(likelihood.evaluate(blocks, counts, trained.size, SMOOTHING))
 
 
+def evaluation_loss(spark, sf):
+    blocks, trained = _stored(spark, sf)
+    counts = _trained_counts(blocks)
+    head = bat.first_blocks(blocks, bat.batch_size(SEQ_LEN), EVAL_BATCHES)
+    return _rounded_loss(likelihood.evaluate(head, counts, trained.size, SMOOTHING))
+
+
 def loss_per_document(spark, sf):
     examples, trained = _examples(spark, sf)
     examples = examples.withColumnRenamed("ids", "tokens")
@@ -528,13 +540,20 @@ def last_checkpoint(spark, sf):
     return log_ops.last_rows(_log(spark, sf)).select("run_id", "step", "perplexity")
 
 
+def checkpoint_records(spark, sf):
+    records = log_ops.checkpoint_records(_log(spark, sf), EVAL_EVERY, SAVE_EVERY)
+    return records.select("kind", "run_id", "step", "perplexity")
+
+
 def runlog_sink(spark, sf):
     path = scratch_path(spark, "runlog")
-    log_src.append_runlog(log_ops.evaluation_rows(_log(spark, sf), EVAL_EVERY), path)
-    log_src.append_runlog(log_ops.last_rows(_log(spark, sf)), path)
+    log = _log(spark, sf)
+    log_src.append_runlog(log_ops.evaluation_rows(log, EVAL_EVERY), path)
+    log_src.append_runlog(log_ops.checkpoint_records(log, EVAL_EVERY, SAVE_EVERY), path)
     stored = log_src.read_runlog(spark, path)
     return stored.groupBy("run_id").agg(
-        F.count("*").alias("records"), F.max("step").alias("last_step"), F.count("tokens").alias("with_tokens")
+        F.count("*").alias("records"), F.count("kind").alias("checkpoints"),
+        F.max("step").alias("last_step"), F.count("tokens").alias("with_tokens"),
     )
 
 
@@ -553,10 +572,10 @@ QUERIES = {
         roundtrip_audit, unigram_vocabulary, unigram_roundtrip, tokenizer_metadata, split_token_yield, merged_token_yield,
         packed_blocks, shard_sink, shard_manifest, split_manifest, shard_checks, shard_offsets,
         block_lookup, block_fetch, shuffled_order, batch_sizes, batch_plan, evaluation_batches,
-        batch_contents, next_token_counts, next_token_model, loss_per_split, loss_per_document,
+        batch_contents, next_token_counts, next_token_model, loss_per_split, evaluation_loss, loss_per_document,
         log_softmax, target_nll, vector_loss, temperature_scaling, repetition_penalty, softmax,
         top_k_filter, top_p_filter, sampling_distribution, categorical_draw, greedy_choice, greedy_continuation, sampled_continuation,
         evaluation_rows, save_rows, perplexity_improvements, best_checkpoint, last_checkpoint,
-        runlog_sink, config_defaults,
+        checkpoint_records, runlog_sink, config_defaults,
     ]
 }

@@ -252,6 +252,15 @@ h{i} AS MATERIALIZED (
 _LOG = """
 runlog AS (SELECT user_id AS run_id, event_id + 1 AS step, value AS perplexity FROM events)"""
 
+_RECORDS = f"""
+records AS (
+  SELECT 'best' AS kind, * FROM (SELECT * FROM runlog WHERE step % {c.EVAL_EVERY} = 0 OR step = 1)
+  QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY perplexity, step) = 1
+  UNION ALL
+  SELECT 'last' AS kind, * FROM runlog QUALIFY step = max(step) OVER (PARTITION BY run_id)
+  UNION ALL
+  SELECT 'summary' AS kind, run_id, max(step) AS step, NULL AS perplexity FROM runlog GROUP BY run_id)"""
+
 
 def _with(select: str, *ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n" + select
@@ -372,6 +381,15 @@ FROM blocks, (SELECT list(replace(piece, '{_MARK}', ' ') ORDER BY token_id) AS s
             "FROM bigrams JOIN contexts USING (a) JOIN unigrams USING (b)", *_PACKED, _model("blocks", "tokens", "split")),
         "loss_per_split": _with(
             f"SELECT g AS split, {_LOSS} FROM nll GROUP BY g", *_PACKED, _model("blocks", "tokens", "split")),
+        "evaluation_loss": _with(
+            f"SELECT g AS split, {_LOSS} FROM head_nll GROUP BY g", *_PACKED, _model("blocks", "tokens", "split"), f"""
+head_rows AS (
+  SELECT split AS g, unnest(tokens[1:len(tokens) - 1]) AS a, unnest(tokens[2:]) AS b
+  FROM blocks WHERE block_id < {c.EVAL_BATCHES * batch_size(c.SEQ_LEN)}),
+head_nll AS (
+  SELECT g, p.n, -ln((coalesce(m.n, 0) + {c.SMOOTHING} * p1) / (coalesce(x.c, 0) + {c.SMOOTHING})) AS nll
+  FROM (SELECT g, a, b, count(*) AS n FROM head_rows GROUP BY ALL) p
+  LEFT JOIN bigrams m USING (a, b) LEFT JOIN contexts x USING (a) JOIN unigrams USING (b))"""),
         "loss_per_document": _with(
             f"SELECT g AS doc_id, {_LOSS} FROM nll GROUP BY g", *_CODED, _model("examples", "ids", "doc_id")),
         "log_softmax": _with("SELECT ctx_id, token_id, round(lp, 6) AS log_p FROM log_p", _SCORES),
@@ -418,10 +436,12 @@ WHERE previous_best IS NULL OR perplexity < previous_best""", _LOG),
             "SELECT * FROM runlog QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY perplexity, step) = 1", _LOG),
         "last_checkpoint": _with(
             "SELECT * FROM runlog QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY step DESC) = 1", _LOG),
+        "checkpoint_records": _with("SELECT kind, run_id, step, perplexity FROM records", _LOG, _RECORDS),
         "runlog_sink": _with(f"""
-SELECT run_id, count(*) AS records, max(step) AS last_step, CAST(0 AS BIGINT) AS with_tokens FROM (
-  SELECT run_id, step FROM runlog WHERE step % {c.EVAL_EVERY} = 0 OR step = 1
-  UNION ALL SELECT run_id, max(step) FROM runlog GROUP BY run_id) GROUP BY run_id""", _LOG),
+SELECT run_id, count(*) AS records, count(kind) AS checkpoints, max(step) AS last_step, CAST(0 AS BIGINT) AS with_tokens
+FROM (SELECT kind, run_id, step FROM records
+  UNION ALL SELECT NULL, run_id, step FROM runlog WHERE step % {c.EVAL_EVERY} = 0 OR step = 1) GROUP BY run_id""",
+            _LOG, _RECORDS),
         "config_defaults": "SELECT event_id, " + ", ".join(
             f"coalesce(CAST(json_extract_string(props, '$.{name}') AS "
             f"{'DOUBLE' if isinstance(value, float) else 'BIGINT'}), {value}) AS {name}"

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RUNLOG_SCHEMA = T.StructType([
+    T.StructField("kind", T.StringType()),
     T.StructField("run_id", T.LongType()),
     T.StructField("step", T.LongType()),
     T.StructField("loss", T.DoubleType()),
     T.StructField("perplexity", T.DoubleType()),
     T.StructField("tokens", T.LongType()),
     T.StructField("learning_rate", T.DoubleType()),
+    T.StructField("config", T.StringType()),
 ])
 
 # Model configuration fields and their defaults.
@@ -29,7 +31,11 @@ CONFIG_DEFAULTS = {
 
 
 def append_runlog(rows: DataFrame, path: str) -> None:
-    """Append metric rows; fields a row does not have are NULL."""
+    """Append records; fields a record does not have are NULL.
+
+    ``kind`` tells measurements from best, last and summary records; ``config``
+    is the model configuration as JSON.
+    """
     have = set(rows.columns)
     columns = [
         (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
