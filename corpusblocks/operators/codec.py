@@ -83,18 +83,33 @@ def segmenter(tokenizer: Tokenizer):
 
     def segment(word: str) -> array:
         symbols = replay_by_rank(word) if len(word) <= CACHED_LENGTH else replay_in_place(word)
-        out = array("i")
-        for s in symbols:
-            known = ids.get(s)
-            if known is None:
-                out.extend(FIRST_BYTE_ID + b for b in s.encode("utf-8"))
-            else:
-                out.append(known)
-        return out
+        try:
+            return array("i", map(ids.__getitem__, symbols))
+        except KeyError:
+            out = array("i")
+            for s in symbols:
+                out.extend([ids[s]] if s in ids else (FIRST_BYTE_ID + b for b in s.encode("utf-8")))
+            return out
 
     return segment
 
 
+class _WordCache(dict):
+    """Ids of words as bytes, segmented on first sight."""
+
+    def __init__(self, segment):
+        super().__init__()
+        self.segment = segment
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.segment(WORD_MARK + word).tobytes() if word else b""
+        if len(word) <= CACHED_LENGTH:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = found
+        return found
+
+
 def encoder(tokenizer):
     """Arrow function on a text column: stripped line → ids, without markers.
 
@@ -107,25 +122,16 @@ def encoder(tokenizer):
 
     @F.arrow_udf("array<int>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        segment, cache = tokenizer.segmenter(), {}
+        ids_of = _WordCache(tokenizer.segmenter()).__getitem__
         for batch in batches:
-            values, offsets = array("i"), array("i", [0])
-            for line in batch.to_pylist():
-                for word in (line or "").split(" "):
-                    if not word:
-                        continue
-                    found = cache.get(word)
-                    if found is None:
-                        found = segment(WORD_MARK + word)
-                        if len(word) <= CACHED_LENGTH:
-                            if len(cache) >= CACHE_WORDS:
-                                cache.clear()
-                            cache[word] = found
-                    values.extend(found)
-                offsets.append(len(values))
-            # Through the buffers, not element by element.
+            encoded = [b"".join(map(ids_of, (line or "").split(" "))) for line in batch.to_pylist()]
+            sizes = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            values = pa.py_buffer(b"".join(encoded))
+            n = int(offsets[-1])
             yield pa.ListArray.from_arrays(
-                pa.array(np.array(offsets, np.int32)), pa.array(np.array(values, np.int32))
+                pa.Int32Array.from_buffers(pa.int32(), len(offsets), [None, pa.py_buffer(offsets)]),
+                pa.Int32Array.from_buffers(pa.int32(), n, [None, values]),
             )
 
     return encode
