@@ -117,17 +117,14 @@ def context_vectors(counts: DataFrame, size: int, k: float = 1.0) -> DataFrame:
     vocabulary.
     """
     every = counts.sparkSession.range(size).select(F.col("id").cast("int").alias("input_id"))
-    p1 = F.transform(
-        F.sort_array(F.collect_list(F.struct("target_id", "p1"))), lambda x: x["p1"]
-    )
-    # One row, joined by the constant key all contexts share.
-    shared = target_model(counts, size).groupBy(F.lit(0).alias("_one")).agg(p1.alias("p1"))
+    # As many numbers as there are token ids; they become an array constant.
+    listed = [r["p1"] for r in target_model(counts, size).orderBy("target_id").collect()]
+    p1 = F.split(F.lit(",".join(map(repr, listed))), ",").cast("array<double>")
     seen = counts.groupBy("input_id").agg(
         F.sum("n").alias("c"),
         F.map_from_entries(F.collect_list(F.struct("target_id", "n"))).alias("by_target"),
     )
-    rows = every.join(seen, "input_id", "left").withColumn("_one", F.lit(0))
-    rows = rows.join(F.broadcast(shared), "_one")
+    rows = every.join(seen, "input_id", "left")
     n = F.col("by_target")
-    logits = F.transform("p1", lambda p, i: F.log(_smoothed(F.try_element_at(n, i), F.col("c"), p, k)))
+    logits = F.transform(p1, lambda p, i: F.log(_smoothed(F.try_element_at(n, i), F.col("c"), p, k)))
     return rows.select("input_id", logits.alias("logits"))

@@ -44,8 +44,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def task_count(spark: SparkSession) -> int:
     """Number of tasks that keeps the whole cluster busy."""
-    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(shuffle, spark.sparkContext.defaultParallelism)
+    cores = spark.sparkContext.defaultParallelism
+    if spark.sparkContext.master.startswith("local"):
+        return cores
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), cores)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
