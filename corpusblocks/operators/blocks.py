@@ -98,7 +98,14 @@ def require_located(located: DataFrame, index: str = "block_index") -> None:
 
 
 def fetch(requests: DataFrame, blocks: DataFrame, index: str = "block_index") -> DataFrame:
-    """Tokens of requested blocks, one row per request that is in range."""
+    """Tokens of requested blocks, one row per request that is in range.
+
+    Requests that went through ``locate`` are joined by shard and position, which
+    lets the scan skip the folders of shards nobody asked for.
+    """
+    if {"shard_id", "local_index"} <= set(requests.columns):
+        keys = ["split", "shard_id", "local_index"]
+        return requests.join(blocks.select(*keys, "tokens"), keys)
     wanted = requests.withColumn("block_id", F.col(index))
     return wanted.join(blocks.select("split", "block_id", "tokens"), ["split", "block_id"]).drop("block_id")
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusblocks.operators.bpe import RESERVED, merges_table
+from corpusblocks.operators.codec import Tokenizer
+from corpusblocks.operators.unigram import UnigramTokenizer
 
 # Fixed value: fields of the metadata document.
 META_SCHEMA = (
@@ -31,15 +34,40 @@ def metadata(vocab: DataFrame, model_file: str, vocab_file: str) -> DataFrame:
     )
 
 
-def write_tokenizer(vocab: DataFrame, merges: Sequence[tuple], prefix: str) -> None:
-    """Write ``<prefix>.vocab``, ``<prefix>.merges`` (Parquet) and ``<prefix>.meta.json``."""
+def write_tokenizer(
+    vocab: DataFrame,
+    merges: Sequence[tuple],
+    prefix: str,
+    scores: Mapping[str, float] | None = None,
+) -> None:
+    """Write ``<prefix>.vocab``, the model (Parquet) and ``<prefix>.meta.json``.
+
+    The model is ``<prefix>.merges``, or ``<prefix>.scores`` when piece scores are given.
+    """
     spark = vocab.sparkSession
     vocab.coalesce(1).write.mode("overwrite").parquet(f"{prefix}.vocab")
-    merges_table(spark, list(merges)).coalesce(1).write.mode("overwrite").parquet(f"{prefix}.merges")
-    meta = metadata(vocab, f"{prefix}.merges", f"{prefix}.vocab")
+    if scores is None:
+        model_file, model = f"{prefix}.merges", merges_table(spark, list(merges))
+    else:
+        model_file, model = f"{prefix}.scores", spark.createDataFrame(pa.table({
+            "piece": pa.array(list(scores), pa.string()),
+            "score": pa.array(list(scores.values()), pa.float64()),
+        }))
+    model.coalesce(1).write.mode("overwrite").parquet(model_file)
+    meta = metadata(vocab, model_file, f"{prefix}.vocab")
     meta.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(f"{prefix}.meta.json")
 
 
+def load_tokenizer(spark: SparkSession, prefix: str) -> Tokenizer | UnigramTokenizer:
+    """The tokenizer written under a prefix, of either model."""
+    vocab = read_vocabulary(spark, prefix)
+    pieces = vocab.where(F.col("kind") == "piece").select("piece", "token_id").collect()
+    if not pieces:
+        return Tokenizer.of(read_merges(spark, prefix), vocab)
+    scores = {r["piece"]: r["score"] for r in spark.read.parquet(f"{prefix}.scores").collect()}
+    return UnigramTokenizer(scores, {r["piece"]: r["token_id"] for r in pieces})
+
+
 def read_vocabulary(spark: SparkSession, prefix: str) -> DataFrame:
     return spark.read.parquet(f"{prefix}.vocab")
 

@@ -75,6 +75,9 @@ def test_fetch_returns_a_row_per_request(spark, blocks):
     requests = spark.createDataFrame([("train", 3), ("train", 3), ("val", 3), ("val", 99)], "split string, block_index long")
     got = sorted((r["split"], r["tokens"][0], r["tokens"][3]) for r in blk.fetch(requests, blocks).collect())
     assert got == [("train", 3, 23), ("train", 3, 23), ("val", 3, 5)]
+    located = blk.locate(requests, blk.shard_offsets(blocks))
+    again = sorted((r["split"], r["tokens"][0], r["tokens"][3]) for r in blk.fetch(located, blocks).collect())
+    assert again == got
 
 
 def test_batch_size():

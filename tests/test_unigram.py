@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusblocks.operators import bpe, codec, unigram
 from corpusblocks.plans import corpus
+from corpusblocks.sources import artifacts
 
 
 def segmentations(word):
@@ -73,6 +74,17 @@ def test_training_encoding_and_round_trip(spark):
     assert mean < 0.5
 
 
+def test_tokenizers_survive_writing_and_loading(spark, tmp_path):
+    lines = spark.createDataFrame([("abab cab",), ("bab é",)], "line string")
+    for model_type in ("bpe", "unigram"):
+        trained = corpus.train_tokenizer(lines, vocab_size=268, model_type=model_type, seed_size=20)
+        prefix = str(tmp_path / model_type)
+        scores = getattr(trained.tokenizer, "scores", None)
+        artifacts.write_tokenizer(trained.vocab, trained.merges, prefix, scores)
+        assert artifacts.load_tokenizer(spark, prefix) == trained.tokenizer
+        assert artifacts.special_ids(spark, f"{prefix}.meta.json")["vocab_size"] == trained.size
+
+
 def test_expected_counts_do_not_depend_on_partitions(spark):
     words = spark.createDataFrame([("aab", 2), ("ab", 5), ("b", 1)], "word string, freq long")
     scores = {"a": -1.0, "b": -1.5, "ab": -2.0, "aa": -3.0}
