@@ -10,8 +10,6 @@ vocabulary size.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,11 +93,16 @@ def symbol_table(words: DataFrame, uncovered: list[str] | None = None) -> DataFr
 
 
 def apply_merges(symbols: Column, merges: list[tuple[str, str]]) -> Column:
-    """Replay a list of merges, in order, on a delimited symbol string."""
-    return reduce(
-        lambda s, m: F.replace(s, F.lit(f" {m[0]}  {m[1]} "), F.lit(f" {m[0]}{m[1]} ")),
-        merges, symbols,
-    )
+    """Replay a list of merges, in order, on a delimited symbol string.
+
+    The list is one array constant, so every round of learning runs the same
+    generated code; a chain of calls would be compiled anew each time.
+    """
+    steps = F.array(*[
+        F.struct(F.lit(f" {left}  {right} ").alias("old"), F.lit(f" {left}{right} ").alias("new"))
+        for left, right in merges
+    ]).cast("array<struct<old: string, new: string>>")
+    return F.aggregate(steps, symbols, lambda s, m: F.replace(s, m["old"], m["new"]))
 
 
 def pair_counts(symbols: DataFrame) -> DataFrame:

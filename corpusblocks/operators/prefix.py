@@ -68,7 +68,7 @@ _TOTAL = {"sum": F.sum, "min": F.min}
 def _combine(agg: str, parts: list[Column]) -> Column:
     if agg == "sum":
         return reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0)) for p in parts])
-    return F.least(*parts) if len(parts) > 1 else parts[0]
+    return F.least(*parts)
 
 
 def exclusive_prefix(df: DataFrame, order: Order, value: Column, out: str, agg: str = "sum") -> DataFrame:
@@ -83,31 +83,25 @@ def exclusive_prefix(df: DataFrame, order: Order, value: Column, out: str, agg:
     for name, level in zip(names, order.levels):
         rows = rows.withColumn(name, level)
 
-    before = lambda keys, by: (
-        W.partitionBy(*keys).orderBy(*by).rowsBetween(W.unboundedPreceding, -1)
-    )
-
-    # Totals per finest bucket, then windows from coarse to fine over totals only.
-    fine = rows.groupBy(*group, *names).agg(total("_value").alias("_total"))
-    parent = names[1:] + [None]
-    tables = []
-    current, finest_names = fine, names
-    for i, name in enumerate(names):
-        tables.append((name, parent[i], current))
-        if parent[i] is not None:
-            finest_names = names[i + 1:]
-            current = current.groupBy(*group, *finest_names).agg(total("_total").alias("_total"))
+    def before(keys: list[str], by) -> W:
+        return W.partitionBy(*keys).orderBy(*by).rowsBetween(W.unboundedPreceding, -1)
 
+    # Totals per bucket, from fine to coarse: each level is summed from the one below.
+    totals = [rows.groupBy(*group, *names).agg(total("_value").alias("_total"))]
+    for i in range(1, len(names)):
+        totals.append(totals[-1].groupBy(*group, *names[i:]).agg(total("_total").alias("_total")))
+
+    # What precedes each bucket, from coarse to fine; windows see totals of one parent only.
     base: DataFrame | None = None
-    for name, up, table in reversed(tables):
-        keys = group + ([up] if up else [])
-        level = table.withColumn("_before", total("_total").over(before(keys, [name])))
+    for i in reversed(range(len(names))):
+        parent = names[i + 1:i + 2]
+        level = totals[i].withColumn("_before", total("_total").over(before(group + parent, [names[i]])))
         if base is not None:
-            level = level.join(base, group + [up], "inner")
+            level = level.join(base, group + parent)
             level = level.withColumn("_before", _combine(agg, [F.col("_before"), F.col("_base")]))
-        base = level.select(*group, name, F.col("_before").alias("_base"))
+        base = level.select(*group, names[i], F.col("_before").alias("_base"))
 
-    local = rows.withColumn("_local", total("_value").over(before(group + [names[0]], order.sort)))
-    joined = local.join(base, group + [names[0]], "inner")
+    fine = group + names[:1]
+    local = rows.withColumn("_local", total("_value").over(before(fine, order.sort)))
     result = _combine(agg, [F.col("_local"), F.col("_base")])
-    return joined.select(*df.columns, result.alias(out))
+    return local.join(base, fine).select(*df.columns, result.alias(out))
