@@ -34,9 +34,10 @@ def add_columns(
     """
     wanted = _schema(fields)
 
-    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+    def run(batches: Iterator[pa.Array | tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for batch in batches:
-            out = compute(pa.table(list(batch), names=inputs))
+            arrays = list(batch) if isinstance(batch, tuple) else [batch]
+            out = compute(pa.table(arrays, names=inputs))
             columns = [out[n] if isinstance(out[n], pa.Array) else pa.array(out[n], _ARROW[t]) for n, t in wanted]
             yield pa.StructArray.from_arrays(columns, names=[n for n, _ in wanted])
 
