@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from corpusblocks.llm.bpe_automaton import op1_bpe_automaton
+from corpusblocks.llm.mixing import op9_fair_mixing
+from corpusblocks.llm.simhash import op8_simhash_groups
 from corpusblocks.llm.token_counts import op5_token_counts
 
 QUERIES = {
     "op1_bpe_automaton": op1_bpe_automaton,
     "op5_token_counts": op5_token_counts,
+    "op8_simhash_groups": op8_simhash_groups,
+    "op9_fair_mixing": op9_fair_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
