@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from corpusblocks.llm.bpe_automaton import op1_bpe_automaton
+from corpusblocks.llm.language_id import op2_language_id
 from corpusblocks.llm.mixing import op9_fair_mixing
 from corpusblocks.llm.simhash import op8_simhash_groups
 from corpusblocks.llm.token_counts import op5_token_counts
+from corpusblocks.llm.toxicity import op6_toxicity
 
 QUERIES = {
     "op1_bpe_automaton": op1_bpe_automaton,
+    "op2_language_id": op2_language_id,
     "op5_token_counts": op5_token_counts,
+    "op6_toxicity": op6_toxicity,
     "op8_simhash_groups": op8_simhash_groups,
     "op9_fair_mixing": op9_fair_mixing,
 }
