@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from corpusblocks.llm.bpe_automaton import op1_bpe_automaton
+from corpusblocks.llm.fingerprints import op3_fingerprints
 from corpusblocks.llm.language_id import op2_language_id
 from corpusblocks.llm.mixing import op9_fair_mixing
 from corpusblocks.llm.simhash import op8_simhash_groups
@@ -12,6 +13,7 @@ from corpusblocks.llm.toxicity import op6_toxicity
 QUERIES = {
     "op1_bpe_automaton": op1_bpe_automaton,
     "op2_language_id": op2_language_id,
+    "op3_fingerprints": op3_fingerprints,
     "op5_token_counts": op5_token_counts,
     "op6_toxicity": op6_toxicity,
     "op8_simhash_groups": op8_simhash_groups,
