@@ -6,6 +6,7 @@ from corpusblocks.llm.bpe_automaton import op1_bpe_automaton
 from corpusblocks.llm.fingerprints import op3_fingerprints
 from corpusblocks.llm.language_id import op2_language_id
 from corpusblocks.llm.mixing import op9_fair_mixing
+from corpusblocks.llm.secrets import op7_secret_ledger
 from corpusblocks.llm.simhash import op8_simhash_groups
 from corpusblocks.llm.token_counts import op5_token_counts
 from corpusblocks.llm.toxicity import op6_toxicity
@@ -16,6 +17,7 @@ QUERIES = {
     "op3_fingerprints": op3_fingerprints,
     "op5_token_counts": op5_token_counts,
     "op6_toxicity": op6_toxicity,
+    "op7_secret_ledger": op7_secret_ledger,
     "op8_simhash_groups": op8_simhash_groups,
     "op9_fair_mixing": op9_fair_mixing,
 }
