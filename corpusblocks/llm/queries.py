@@ -6,6 +6,7 @@ from corpusblocks.llm.bpe_automaton import op1_bpe_automaton
 from corpusblocks.llm.fingerprints import op3_fingerprints
 from corpusblocks.llm.language_id import op2_language_id
 from corpusblocks.llm.mixing import op9_fair_mixing
+from corpusblocks.llm.neighbours import op10_graph_neighbours
 from corpusblocks.llm.secrets import op7_secret_ledger
 from corpusblocks.llm.simhash import op8_simhash_groups
 from corpusblocks.llm.token_counts import op5_token_counts
@@ -20,6 +21,7 @@ QUERIES = {
     "op7_secret_ledger": op7_secret_ledger,
     "op8_simhash_groups": op8_simhash_groups,
     "op9_fair_mixing": op9_fair_mixing,
+    "op10_graph_neighbours": op10_graph_neighbours,
 }
 
 ORACLE_SQL: dict[str, str] = {}
