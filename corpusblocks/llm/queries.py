@@ -5,6 +5,7 @@ from __future__ import annotations
 from corpusblocks.llm.bpe_automaton import op1_bpe_automaton
 from corpusblocks.llm.fingerprints import op3_fingerprints
 from corpusblocks.llm.language_id import op2_language_id
+from corpusblocks.llm.line_dedup import op4_line_dedup
 from corpusblocks.llm.mixing import op9_fair_mixing
 from corpusblocks.llm.neighbours import op10_graph_neighbours
 from corpusblocks.llm.secrets import op7_secret_ledger
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_bpe_automaton": op1_bpe_automaton,
     "op2_language_id": op2_language_id,
     "op3_fingerprints": op3_fingerprints,
+    "op4_line_dedup": op4_line_dedup,
     "op5_token_counts": op5_token_counts,
     "op6_toxicity": op6_toxicity,
     "op7_secret_ledger": op7_secret_ledger,
