@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of a batch whose results are held at once.
+SLICE = 1_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, read by Spark from wherever the folder is."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,7 +33,7 @@ def add_columns(
 ) -> DataFrame:
     """Append ``fields`` (a DDL string), computed by ``compute`` from batches of ``inputs``.
 
-    Only the inputs travel to Python; a batch is never wider than what Spark sends.
+    Only the inputs travel to Python, and results go back ``SLICE`` rows at a time.
     New columns replace old ones of the same name.
     """
     wanted = _schema(fields)
@@ -37,15 +41,25 @@ def add_columns(
     def run(batches: Iterator[pa.Array | tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         for batch in batches:
             arrays = list(batch) if isinstance(batch, tuple) else [batch]
-            out = compute(pa.table(arrays, names=inputs))
-            columns = [out[n] if isinstance(out[n], pa.Array) else pa.array(out[n], _ARROW[t]) for n, t in wanted]
-            yield pa.StructArray.from_arrays(columns, names=[n for n, _ in wanted])
+            rows = pa.table(arrays, names=inputs)
+            for at in range(0, max(1, rows.num_rows), SLICE):
+                out = compute(rows.slice(at, SLICE).combine_chunks())
+                columns = [out[n] if isinstance(out[n], pa.Array) else pa.array(out[n], _ARROW[t]) for n, t in wanted]
+                yield pa.StructArray.from_arrays(columns, names=[n for n, _ in wanted])
 
     udf = F.arrow_udf(run, fields, F.ArrowUDFType.SCALAR_ITER)
-    added = df.withColumn("_added", udf(*[F.col(c) for c in inputs]))
+    own = "_added"
+    while own in df.columns:
+        own += "_"
+    added = df.select("*", udf(*[F.col(c) for c in inputs]).alias(own))
     names = [n for n, _ in wanted]
     kept = [F.col(c) for c in df.columns if c not in names]
-    return added.select(*kept, *[F.col(f"_added.{n}").alias(n) for n in names])
+    return added.select(*kept, *[F.col(f"{own}.{n}").alias(n) for n in names])
+
+
+def packed(df: DataFrame, **named: Column) -> DataFrame:
+    """The rows of ``df`` in one column ``_row`` beside the named ones, so that no names clash."""
+    return df.select(F.struct(*[F.col(c) for c in df.columns]).alias("_row"), *[e.alias(n) for n, e in named.items()])
 
 
 _ARROW = {

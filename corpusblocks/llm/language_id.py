@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusblocks.llm.common import add_columns, fold_of, table, whole_text
+from corpusblocks.llm.common import add_columns, fold_of, packed, table, whole_text
 
 #: Bounds of what is learned from, per language.
 SAMPLE_DOCS = 128
@@ -208,7 +208,7 @@ def predict(df: DataFrame, model: tuple, column: str = "text") -> DataFrame:
 
 def accepted(df: DataFrame, model: tuple, column: str = "text", most: float = MAX_BITS) -> DataFrame:
     """The rows whose language can be told, with their own columns: not ``und``, and explained well enough."""
-    kept = predict(df.withColumn("_row", F.struct(*[F.col(c) for c in df.columns])), model, column)
+    kept = predict(packed(df, _text=F.col(column)), model, "_text")
     kept = kept.where((F.col("lang_pred") != UNDETERMINED) & (F.col("bits") <= most))
     return kept.select("_row.*")
 

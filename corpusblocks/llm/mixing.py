@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from corpusblocks.functions.seeded import sort_key
-from corpusblocks.llm.common import table, whole_text
+from corpusblocks.llm.common import packed, table, whole_text
 from corpusblocks.operators.prefix import Order, dense_levels, exclusive_prefix, hashed_levels
 from corpusblocks.session import join_lookup, materialize
 
@@ -111,6 +111,28 @@ def _cut(queued: DataFrame, share: float, entries: int) -> float | None:
     return merged.where(F.col("_before") + F.col("size") > share * budget).agg(F.min("finish")).first()[0]
 
 
+def mixed_documents(
+    docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES, seed: int = SEED
+) -> DataFrame:
+    """The documents of the mix in the order of their finish times, repeated as often as they are taken.
+
+    Only keys and sizes are queued; the texts are joined with what is taken and sorted
+    once. Documents without words are not part of a mix.
+    """
+    source = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("null"))
+    keyed = packed(
+        docs, _key=F.coalesce(F.col("doc_id"), F.lit(2**63 - 1)), _tie=F.xxhash64("text"), _from=source,
+        source=F.col("source"), size=word_count(),
+    )
+    # Rows equal in all this are queued as one.
+    narrow = keyed.groupBy("_key", "_tie", "_from", "source").agg(F.sum("size").alias("size"))
+    taken = mix(materialize(narrow, "sizes"), weights, share, passes, seed, "_key").where("copies > 0")
+    taken = taken.select("_key", "_tie", "_from", F.slice("finish", 1, F.col("copies")).alias("_finish"))
+    rows = keyed.drop("source", "size").join(materialize(taken, "taken").hint("shuffle_hash"), ["_key", "_tie", "_from"])
+    rows = rows.withColumn("_finish", F.explode("_finish"))
+    return rows.orderBy("_finish", "_key", "_tie").select("_row.*")
+
+
 def op9_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of 150 % of all words takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count().alias("size"))

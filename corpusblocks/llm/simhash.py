@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusblocks.llm.common import add_columns, table
+from corpusblocks.llm.common import add_columns, packed, table, whole_text
 from corpusblocks.llm.graph import connected_components
 from corpusblocks.session import join_lookup, materialize
 
@@ -189,6 +189,11 @@ def components(
     """``(key, fingerprint, component_id)`` per document; the component is named by its smallest key."""
     prints = add_fingerprints(df.select(key, column), column, words=words).select(key, "fingerprint")
     prints = materialize(prints, "fingerprints")
+    return grouped(prints, key, radius, shard).select(key, "fingerprint", "component_id")
+
+
+def grouped(prints: DataFrame, key: str, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
+    """Add ``component_id``, the smallest key of the component, to ``prints(key, fingerprint, ...)``."""
     distinct = materialize(prints.groupBy("fingerprint").agg(F.min(key).alias("_least")), "distinct")
     links = materialize(fingerprint_links(distinct.select("fingerprint"), radius, shard), "links")
     groups = connected_components(links).select(F.col("node").alias("fingerprint"), "component")
@@ -198,7 +203,7 @@ def components(
     named = materialize(named.select("fingerprint", "_group", "_least"), "named")
     least = named.groupBy("_group").agg(F.min("_least").alias("component_id"))
     lookup = named.join(least, "_group").select("fingerprint", "component_id")
-    return join_lookup(prints, lookup, ["fingerprint"]).select(key, "fingerprint", "component_id")
+    return join_lookup(prints, lookup, ["fingerprint"])
 
 
 def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,3 +212,23 @@ def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_per_group(df: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """The rows of ``df`` that stay when every component keeps one document.
+
+    That is the one with the smallest key; of rows with equal keys the one whose text has
+    the smallest hash, once. A component in which no key is known keeps its smallest hash.
+    """
+    last = 2**63 - 1
+    keyed = packed(
+        df, _key=F.coalesce(F.col(key), F.lit(last)), _tie=F.xxhash64(whole_text(column)), _text=F.col(column)
+    )
+    narrow = add_fingerprints(keyed.select("_key", "_tie", "_text"), "_text").select("_key", "_tie", "fingerprint")
+    narrow = materialize(narrow, "fingerprints")
+    groups = grouped(narrow, "_key")
+    leaders = groups.where(F.col("_key") == F.col("component_id")).groupBy("component_id").agg(F.min("_tie").alias("_tie"))
+    leaders = materialize(leaders.withColumnRenamed("component_id", "_key"), "leaders")
+    # The leaders are hashed, the texts pass by; equal rows lie side by side after the join.
+    kept = keyed.join(leaders.hint("shuffle_hash"), ["_key", "_tie"]).dropDuplicates(["_key", "_tie"])
+    return kept.select("_row.*")
