@@ -11,9 +11,9 @@ against the state it was copied from, and an arc that has been looked up stays i
 transition table.
 
 All arcs with one label lead to one state, so states are named by the token that leads
-to them. A word is run from left to right: place ``i`` is reached by the one token
-that ends there and has an arc from the state of the place where it begins. Decoding
-emits the labels of the arcs.
+to them. A word is run from left to right along the labels that stand in it, with the
+longest first, to the one path that the automaton accepts. Decoding emits the labels
+of the arcs.
 
 Words repeat, so their ids are kept in a table of at most ``WORDS`` entries per worker.
 """
@@ -22,9 +22,12 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import unicodedata
+from array import array
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +35,8 @@ from pyspark.sql import functions as F
 from corpusblocks.llm.common import add_columns, table
 
 #: Entries of the table of words a worker keeps, and of looked-up arcs.
-WORDS = 200_000
-ARCS = 500_000
+WORDS = 240_000
+ARCS = 300_000
 #: Words longer than this are not kept.
 LONG = 64
 
@@ -73,19 +76,22 @@ class MergeAutomaton:
         for rank, (u, v, made) in enumerate(merges):
             if made != u and made != v and self.born[made] < 0 and len(labels[made]) > 1:
                 self._gadget(rank, u, v, made)
-        self.ends: dict[str, int] = {}  # all ends of labels; the token that an end is, or -1
+        self.starts: dict[str, int] = {}  # all starts of labels; the token that a start is, or -1
         for token, label in enumerate(labels):
-            if label and (self.born[token] >= 0 or len(label) == 1):
+            if label and self._live(token):
                 for k in range(1, len(label)):
-                    self.ends.setdefault(label[k:], -1)
-                self.ends[label] = token
+                    self.starts.setdefault(label[:k], -1)
+                self.starts[label] = token
 
     def _gadget(self, rank: int, u: int, v: int, made: int) -> None:
-        if not self._has(u, v, rank):
+        if not (self._live(u) and self._live(v) and self._has(u, v, rank)):
             return  # the pair never stands side by side: the merge is dead
         self.cut[(u, v)] = rank
         self.born[made], self.left[made], self.right[made] = rank, u, v
 
+    def _live(self, token: int) -> bool:
+        return self.lengths[token] == 1 or self.born[token] >= 0
+
     def _has(self, state: int, token: int, rank: int) -> bool:
         """Whether ``state`` has the arc ``token`` once the gadgets below ``rank`` are in place."""
         born, cut = self.born, self.cut
@@ -110,23 +116,65 @@ class MergeAutomaton:
             found = self.table[key] = self._has(state, token, self.final)
         return found
 
+    def _labels_at(self, word: str, place: int) -> list[int]:
+        """Tokens whose label stands at a place, the longest last."""
+        found, starts = [], self.starts
+        for end in range(place + 1, len(word) + 1):
+            token = starts.get(word[place:end])
+            if token is None:
+                break
+            if token >= 0:
+                found.append(token)
+        return found
+
     def run(self, word: str) -> list[int]:
-        """Ids of the accepting path of a word of base symbols."""
-        ends, arc = self.ends, self.arc
-        reached = [START] * (len(word) + 1)
-        for end in range(1, len(word) + 1):
-            for begin in range(end - 1, -1, -1):
-                token = ends.get(word[begin:end])
-                if token is None:
-                    break
-                if token >= 0 and (begin == 0 or arc(reached[begin], token)):
-                    reached[end] = token
+        """Ids of the accepting path of a word of base symbols.
+
+        Long labels are tried first. There is one accepting path, so a place and state from
+        which the end was not reached are never tried again.
+        """
+        path: list[int] = []
+        choices = [self._labels_at(word, 0)]
+        place, state, dead = 0, START, set()
+        while place < len(word):
+            options = choices[-1]
+            while options:
+                token = options.pop()
+                after = place + self.lengths[token]
+                if (state == START or self.arc(state, token)) and (after, token) not in dead:
+                    path.append(token)
+                    place, state = after, token
+                    choices.append(self._labels_at(word, place))
                     break
-        path, end = [], len(word)
-        while end:
-            path.append(reached[end])
-            end -= self.lengths[reached[end]]
-        return path[::-1]
+            else:
+                choices.pop()
+                dead.add((place, state))
+                place -= self.lengths[path.pop()]
+                state = path[-1] if path else START
+        return path
+
+
+class Recent:
+    """Values by key, the least recently used half dropped when ``most`` keys are held."""
+
+    def __init__(self, most: int):
+        self.half = most // 2
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def get(self, key: str) -> bytes | None:
+        found = self.new.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key: str, value: bytes) -> None:
+        if len(key) <= LONG:
+            if len(self.new) >= self.half:
+                self.old, self.new = self.new, {}
+            self.new[key] = value
 
 
 class WordTokenizer:
@@ -162,48 +210,51 @@ class WordTokenizer:
         self.words = regex.compile(WORD_PATTERN)
         self.blank = regex.compile(r"\p{White_Space}+")
         self.specials = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.known: dict[str, list[int]] = {}  # ids of a piece between white space
-        self.paths: dict[str, list[int]] = {}  # ids of a word of the pattern
+        self.pieces = Recent(WORDS)  # ids, four bytes each, of what stands between white space
+        self.paths = Recent(WORDS // 4)  # and of a word of the pattern
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> bytes:
         """Ids of a piece without white space."""
-        ids: list[int] = []
+        ids = self.pieces.get(piece)
+        if ids is not None:
+            return ids
+        parts = []
         for word in self.words.findall(piece):
             path = self.paths.get(word)
             if path is None:
                 raw = word.encode("utf-8").decode("latin-1")
-                path = self.automaton.run(raw[:-1] + chr(ord(raw[-1]) + 256))
-                if len(self.paths) >= WORDS:
-                    self.paths.clear()
-                if len(word) <= LONG:
-                    self.paths[word] = path
-            ids += path
-        if len(self.known) >= WORDS:
-            self.known.clear()
-        if len(piece) <= LONG:
-            self.known[piece] = ids
+                path = array("i", self.automaton.run(raw[:-1] + chr(ord(raw[-1]) + 256))).tobytes()
+                self.paths.put(word, path)
+            parts.append(path)
+        ids = b"".join(parts)
+        self.pieces.put(piece, ids)
         return ids
 
-    def _plain(self, text: str) -> list[int]:
+    def _plain(self, text: str) -> bytes:
         # Lower-casing goes character by character: no special form for a sigma at the end of a word.
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        pieces = self.blank.split(text) if _SEPARATORS.search(text) else text.split()
-        known, ids = self.known.get, []
-        for piece in pieces:
-            found = known(piece)
-            ids += self._piece(piece) if found is None else found
-        return ids
+        found = self.blank.split(text) if _SEPARATORS.search(text) else text.split()
+        known = self.pieces.new.get
+        return b"".join([known(p) or self._piece(p) for p in found])
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> np.ndarray:
         if self.specials is None or "<" not in text:
-            return self._plain(text)
-        ids: list[int] = []
-        for i, part in enumerate(self.specials.split(text)):
-            ids += [self.special[part]] if i % 2 else self._plain(part)
-        return ids
+            return np.frombuffer(self._plain(text), np.int32)
+        parts = self.specials.split(text)
+        ids = [np.int32(self.special[p]).tobytes() if i % 2 else self._plain(p) for i, p in enumerate(parts)]
+        return np.frombuffer(b"".join(ids), np.int32)
+
+
+class WordDecoder:
+    """Arc labels by id; a vocabulary file without a decoder joins them by a space."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        labels = spec["model"]["vocab"] | {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.tokens = {i: sys.intern(token) for token, i in labels.items()}
 
     def decode(self, ids: list[int]) -> str:
-        """The labels of the arcs, joined by a space (the vocabulary file names no decoder)."""
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
@@ -212,19 +263,20 @@ def load(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
+@lru_cache(maxsize=2)
+def load_decoder(path: str) -> WordDecoder:
+    return WordDecoder(path)
+
+
 def encode(df: DataFrame, path: str, column: str = "text", out: str = "ids") -> DataFrame:
     """Add the token ids of each whole text; null and empty texts get no ids."""
 
     def compute(batch: pa.Table) -> dict[str, pa.Array]:
-        tokenizer, offsets, ids = load(path), [0], pa.array([], pa.int32())
-        parts = []
-        for text in batch.column(0):
-            got = tokenizer.encode(text.as_py() or "")
-            parts.append(pa.array(got, pa.int32()))
-            offsets.append(offsets[-1] + len(got))
-        if parts:
-            ids = pa.concat_arrays(parts)
-        return {out: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), ids)}
+        tokenizer = load(path)
+        parts = [tokenizer.encode(text.as_py() or "") for text in batch.column(0)]
+        offsets = np.cumsum([0, *map(len, parts)], dtype=np.int32)
+        ids = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        return {out: pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))}
 
     return add_columns(df, [column], f"{out} array<int>", compute)
 
@@ -233,8 +285,9 @@ def decode(df: DataFrame, path: str, column: str = "ids", out: str = "decoded")
     """Add the text that ids stand for; no ids (or null) give the empty text."""
 
     def compute(batch: pa.Table) -> dict[str, list]:
-        tokenizer = load(path)
-        return {out: [tokenizer.decode(ids.as_py() or []) for ids in batch.column(0)]}
+        decoder = load_decoder(path)
+        rows = (ids.values.to_numpy().tolist() if ids.is_valid else [] for ids in batch.column(0))
+        return {out: [decoder.decode(ids) for ids in rows]}
 
     return add_columns(df, [column], f"{out} string", compute)
 
