@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusblocks.functions.seeded import sort_key
 from corpusblocks.operators.prefix import Order, dense_levels, exclusive_prefix, hashed_levels
+from corpusblocks.session import join_lookup
 
 # Default token budget of a batch and default seed.
 TARGET_BATCH_TOKENS = 8192
@@ -20,6 +21,11 @@ def batch_size(seq_len: int, target_tokens: int = TARGET_BATCH_TOKENS, size: int
     return size or max(1, target_tokens // seq_len)
 
 
+def batch_size_of(seq_len: Column, target_tokens: int = TARGET_BATCH_TOKENS) -> Column:
+    """Blocks per batch that fit the token budget, for a column of block lengths."""
+    return F.greatest(F.lit(1), F.call_function("div", F.lit(target_tokens), seq_len)).cast("bigint")
+
+
 def shuffled_positions(blocks: DataFrame, seed: int = SEED, epoch: int = 0, shuffle: bool = True) -> DataFrame:
     """``(split, block_id, position)``: place of every block in the order of an epoch.
 
@@ -63,10 +69,12 @@ def batch_plan(
         "block_id",
     )
     if drop_last:
-        totals = blocks.groupBy("split").agg(F.count("*").alias("_n"))
-        full = totals.select("split", F.call_function("div", F.col("_n"), F.lit(size)).alias("_full"))
-        # One row per split.
-        plan = plan.join(F.broadcast(full), "split").where(F.col("batch_no") < F.col("_full")).drop("_full")
+        # One number per split, a handful.
+        totals = blocks.groupBy("split").agg(F.count("*").alias("n")).collect()
+        full = F.lit(0)
+        for r in totals:
+            full = F.when(F.col("split") == r["split"], r["n"] // size).otherwise(full)
+        plan = plan.where(F.col("batch_no") < full)
     if max_batches is not None:
         plan = plan.where(F.col("batch_no") < max_batches)
     return plan
@@ -86,7 +94,8 @@ def batches(plan: DataFrame, blocks: DataFrame) -> DataFrame:
 
     A group holds at most one batch, so its size is set by the token budget.
     """
-    joined = plan.join(blocks.select("split", "block_id", "tokens"), ["split", "block_id"])
+    # A plan that is small enough goes to the blocks, so their tokens are shuffled once, by batch.
+    joined = join_lookup(blocks.select("split", "block_id", "tokens"), plan, ["split", "block_id"])
     gathered = joined.groupBy("split", "epoch", "batch_no").agg(
         F.sort_array(F.collect_list(F.struct("slot", "tokens"))).alias("rows")
     )

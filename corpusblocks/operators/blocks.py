@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from corpusblocks.functions import ids as idf
 from corpusblocks.operators.prefix import Order, dense_levels, exclusive_prefix
-from corpusblocks.sources.shards import shard_name
+from corpusblocks.sources.shards import SHARDS_PER_FOLDER, shard_name
 
 
 def shard_manifest(blocks: DataFrame, seq_len: int | None = None) -> DataFrame:
@@ -40,6 +40,19 @@ def split_manifest(blocks: DataFrame, seq_len: int | None = None) -> DataFrame:
     )
 
 
+def token_manifest(blocks: DataFrame) -> DataFrame:
+    """The split manifest with the largest id and the width it needs, from one scan of the tokens."""
+    per_shard = blocks.groupBy("split", "shard_id").agg(
+        F.count("*").alias("blocks"), F.max(F.size("tokens")).alias("seq_len"),
+        F.max(F.array_max("tokens")).alias("max_token_id"),
+    )
+    per_split = per_shard.groupBy("split").agg(
+        F.sum("blocks").alias("blocks"), F.max("seq_len").alias("seq_len"), F.count("*").alias("shards"),
+        F.max("max_token_id").alias("max_token_id"),
+    )
+    return per_split.withColumn("id_width", idf.id_width(F.col("max_token_id")))
+
+
 def shard_checks(blocks: DataFrame) -> DataFrame:
     """Per split: number of block lengths, id range, and whether the split is consistent."""
     per_split = blocks.groupBy("split").agg(
@@ -100,12 +113,19 @@ def require_located(located: DataFrame, index: str = "block_index") -> None:
 def fetch(requests: DataFrame, blocks: DataFrame, index: str = "block_index") -> DataFrame:
     """Tokens of requested blocks, one row per request that is in range.
 
-    Requests that went through ``locate`` are joined by shard and position, which
-    lets the scan skip the folders of shards nobody asked for.
+    Requests that went through ``locate`` are joined by shard and position. Of stored
+    blocks only the range of shards that is asked for is scanned: the range is one
+    aggregation over the requests, and files and row groups are sorted by shard.
     """
     if {"shard_id", "local_index"} <= set(requests.columns):
         keys = ["split", "shard_id", "local_index"]
-        return requests.join(blocks.select(*keys, "tokens"), keys)
+        low, high = requests.agg(F.min("shard_id"), F.max("shard_id")).first()
+        if low is None:
+            return requests.join(blocks.select(*keys, "tokens").limit(0), keys)
+        near = F.col("shard_id").between(low, high)
+        if "shard_group" in blocks.columns:
+            near &= F.col("shard_group").between(low // SHARDS_PER_FOLDER, high // SHARDS_PER_FOLDER)
+        return requests.join(blocks.where(near).select(*keys, "tokens"), keys)
     wanted = requests.withColumn("block_id", F.col(index))
     return wanted.join(blocks.select("split", "block_id", "tokens"), ["split", "block_id"]).drop("block_id")
 

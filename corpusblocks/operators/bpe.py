@@ -38,7 +38,7 @@ def special_tokens(names: str = "[PAD],[BOS],[EOS],[UNK]") -> dict[str, str]:
     """
     given = {part.strip().strip("[]") for part in names.split(",")} - {""}
     if given != set(RESERVED):
-        raise ValueError(f"special tokens must be exactly {sorted(RESERVED)}, got {sorted(given)}")
+        raise ValueError(f"the reserved names are {sorted(RESERVED)}; this list names {sorted(given)}")
     return {name: f"[{name}]" for name in RESERVED}
 
 

@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 from corpusblocks.functions import vectors as vec
 from corpusblocks.functions.ids import EOS_ID, last_ids
 from corpusblocks.functions.seeded import uniform
+from corpusblocks.operators.likelihood import ContextModel
 from corpusblocks.session import join_lookup, materialize
 
-# Bytes of score vectors that may be broadcast.
-BROADCAST_BYTES = 64 << 20
+# Pairs of a model whose sparse contexts may be broadcast.
+BROADCAST_PAIRS = 2_000_000
 ROUNDS_PER_CUT = 4
 
 
-def _continue(prompts: DataFrame, table: DataFrame, size: int, width: int, rounds: int, choose) -> DataFrame:
+def _continue(prompts: DataFrame, table: DataFrame, fits: bool, rounds: int, choose) -> DataFrame:
     """Append ``choose(step)`` to every prompt until it is the end marker.
 
-    ``table`` has one row of ``width`` doubles per token id, keyed ``_last``.
+    ``table`` has at most one row per token id, keyed ``_last``; ``fits`` says that it may be broadcast.
     Finished prompts leave the rounds at every cut of the lineage.
     """
     state = prompts.select(
@@ -28,7 +29,6 @@ def _continue(prompts: DataFrame, table: DataFrame, size: int, width: int, round
         F.lit(False).alias("_done"),
     )
     columns, finished = state.columns, []
-    fits = size * max(width, 1) * 8 <= BROADCAST_BYTES
     for step in range(rounds):
         # Not broadcast, a table joins by salted keys: many prompts share a last token.
         # An inner join would add a null test on the last token below every earlier
@@ -54,21 +54,22 @@ def _continue(prompts: DataFrame, table: DataFrame, size: int, width: int, round
     return state.drop("_last", "_done")
 
 
-def continue_greedy(prompts: DataFrame, vectors: DataFrame, size: int, max_new_tokens: int) -> DataFrame:
+def continue_greedy(prompts: DataFrame, model: ContextModel, max_new_tokens: int) -> DataFrame:
     """Add ``generated``: the most probable token each time, ended before the end marker.
 
-    ``prompts`` has ``ids``; ``vectors`` is ``(input_id, logits)``. The best token
-    depends on the context alone, so it is looked up, not computed per prompt.
+    ``prompts`` has ``ids``. The best token depends on the context alone, so it is looked
+    up, not computed per prompt; contexts never seen share one.
     """
-    table = vectors.select(F.col("input_id").alias("_last"), vec.argmax(F.col("logits")).alias("_best"))
-    table = materialize(table, "best_tokens")
-    return _continue(prompts, table, size, 1, max_new_tokens, lambda step: F.col("_best"))
+    best = vec.argmax(model.logits(F.col("c"), F.col("by_target")))
+    table = materialize(model.table.select(F.col("input_id").alias("_last"), best.alias("_best")), "best_tokens")
+    other = max(range(len(model.p1)), key=lambda i: (model.p1[i], -i)) if model.p1 else None
+    choose = lambda step: F.coalesce("_best", F.lit(other))
+    return _continue(prompts, table, len(model.p1) <= BROADCAST_PAIRS, max_new_tokens, choose)
 
 
 def continue_sampled(
     prompts: DataFrame,
-    vectors: DataFrame,
-    size: int,
+    model: ContextModel,
     max_new_tokens: int,
     key: list[str],
     *,
@@ -80,26 +81,19 @@ def continue_sampled(
 ) -> DataFrame:
     """Add ``generated``: tokens drawn from the filtered distribution.
 
-    ``key`` identifies a prompt; the draw hashes seed, step and key. Without a
-    repetition penalty the distribution depends on the context alone and is
-    computed once per context, otherwise once per prompt and step.
+    ``key`` identifies a prompt; the draw hashes seed, step and key. What is joined to
+    the prompts are the sparse counts of their contexts; vectors live in the row only.
     """
-    if penalty <= 1:
-        probs = vec.sampling_distribution(F.col("logits"), t=t, k=k, p=p)
-        table = vectors.select(F.col("input_id").alias("_last"), probs.alias("_scores"))
-        dist = lambda: F.col("_scores")
-    else:
-        table = vectors.select(F.col("input_id").alias("_last"), F.col("logits").alias("_scores"))
-        dist = lambda: vec.sampling_distribution(
-            F.col("_scores"), F.col("generated"), t=t, k=k, p=p, penalty=penalty
-        )
-    table = materialize(table, "distributions")
+    table = materialize(model.table.withColumnRenamed("input_id", "_last"), "contexts")
+    pairs = table.agg(F.sum(F.size("by_target"))).first()[0] or 0
+    logits = model.logits(F.col("c"), F.col("by_target"))
 
     def choose(step: int):
         u = uniform(seed, F.lit(step), *[F.col(c) for c in key])
-        return vec.with_let(dist(), lambda d: vec.draw(d, u))
+        dist = vec.sampling_distribution(logits, F.col("generated"), t=t, k=k, p=p, penalty=penalty)
+        return vec.with_let(dist, lambda d: vec.draw(d, u))
 
-    return _continue(prompts, table, size, size, max_new_tokens, choose)
+    return _continue(prompts, table, pairs <= BROADCAST_PAIRS, max_new_tokens, choose)
 
 
 def prompt_context(prompts: DataFrame, seq_len: int) -> DataFrame:

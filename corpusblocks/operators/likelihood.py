@@ -9,6 +9,7 @@ a document, never by the number of tokens.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -110,21 +111,29 @@ def vector_loss(scores: DataFrame, logits: str = "logits", target: str = "target
     return scores.select(*by, nll.alias("nll")).groupBy(*by).agg(*loss_columns(F.col("nll"), F.lit(1)))
 
 
-def context_vectors(counts: DataFrame, size: int, k: float = 1.0) -> DataFrame:
-    """``(input_id, logits)``: log-probabilities over the whole vocabulary, per context.
+@dataclass(frozen=True)
+class ContextModel:
+    """Counts by context, as sparse as they are, and what all contexts share.
 
-    One row per token id, also for contexts never seen; a row is as long as the
-    vocabulary.
+    ``table`` has ``(input_id, c, by_target)`` for contexts that were seen; ``p1`` is one
+    probability per token id. The vector of a context is made in the row that needs it.
     """
-    every = counts.sparkSession.range(size).select(F.col("id").cast("int").alias("input_id"))
+
+    table: DataFrame
+    p1: tuple[float, ...]
+    k: float
+
+    def logits(self, c: Column, by_target: Column) -> Column:
+        """Log-probabilities over the vocabulary; null counts are an unseen context."""
+        p1 = F.split(F.lit(",".join(map(repr, self.p1))), ",").cast("array<double>")
+        return F.transform(p1, lambda p, i: F.log(_smoothed(F.try_element_at(by_target, i), c, p, self.k)))
+
+
+def context_model(counts: DataFrame, size: int, k: float = 1.0) -> ContextModel:
     # As many numbers as there are token ids; they become an array constant.
     listed = [r["p1"] for r in target_model(counts, size).orderBy("target_id").collect()]
-    p1 = F.split(F.lit(",".join(map(repr, listed))), ",").cast("array<double>")
     seen = counts.groupBy("input_id").agg(
         F.sum("n").alias("c"),
         F.map_from_entries(F.collect_list(F.struct("target_id", "n"))).alias("by_target"),
     )
-    rows = every.join(seen, "input_id", "left")
-    n = F.col("by_target")
-    logits = F.transform(p1, lambda p, i: F.log(_smoothed(F.try_element_at(n, i), F.col("c"), p, k)))
-    return rows.select("input_id", logits.alias("logits"))
+    return ContextModel(seen, tuple(listed), k)

@@ -11,6 +11,8 @@ from corpusblocks.operators.prefix import Order, exclusive_prefix
 # Default block length and number of blocks in a shard.
 SEQ_LEN = 256
 BLOCKS_PER_SHARD = 8192
+# Shards that share a file: about 128 MB of ids at the defaults.
+SHARDS_PER_FILE = 32
 
 
 def _div(value: Column, by: int) -> Column:
@@ -37,12 +39,12 @@ def pack_blocks(
 ) -> DataFrame:
     """Concatenate the examples of each split and cut the stream into blocks.
 
-    Gives ``(split, block_id, shard_id, local_index, tokens)``; blocks run across
+    Gives ``(split, shard_run, block_id, shard_id, local_index, tokens)``; blocks run across
     example boundaries and the unfilled tail of a split is dropped. Greedy
     filling of a buffer equals cutting at multiples of ``seq_len``, so once the
     offset of an example is known, its pieces are known without looking at its
-    neighbours. Pieces are shuffled by shard: the same exchange serves the
-    gathering of blocks and a later write partitioned by shard.
+    neighbours. Pieces are shuffled by ``shard_run``, the shards that share a
+    file: the same exchange serves the gathering of blocks and a later write.
 
     ``examples`` is read twice (totals and payload); materialize it first when
     it is expensive to compute.
@@ -65,14 +67,15 @@ def pack_blocks(
     blocks = (
         placed.select(split, F.inline(pieces))
         .withColumn("shard_id", shard)
-        .repartition(split, "shard_id")
-        .groupBy(split, "shard_id", "block_id")
+        .withColumn("shard_run", _div(F.col("shard_id"), SHARDS_PER_FILE))
+        .repartition(split, "shard_run")
+        .groupBy(split, "shard_run", "shard_id", "block_id")
         .agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("pieces"))
         .withColumn("tokens", F.flatten("pieces.ids"))
         .where(F.size("tokens") == seq_len)
     )
     return blocks.select(
-        F.col(split).alias("split"), "block_id", "shard_id",
+        F.col(split).alias("split"), "shard_run", "block_id", "shard_id",
         (F.col("block_id") % blocks_per_shard).alias("local_index"),
         "tokens",
     )

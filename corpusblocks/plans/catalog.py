@@ -14,7 +14,7 @@ from corpusblocks.operators import bpe, codec, generation, likelihood, packing
 from corpusblocks.operators import runlog as log_ops
 from corpusblocks.plans import corpus
 from corpusblocks.session import materialize, scratch_path, spread
-from corpusblocks.sources import artifacts, shards
+from corpusblocks.sources import artifacts, shards, text_files
 from corpusblocks.sources import documents as docs_src
 from corpusblocks.sources import runlog as log_src
 
@@ -34,6 +34,7 @@ TEMPERATURE, TOP_K, TOP_P, PENALTY = 0.9, 40, 0.95, 1.05
 EVAL_EVERY, SAVE_EVERY = 200, 500
 NEW_TOKENS, SAMPLED_TOKENS = 8, 5
 CONFIG = {"k": 0, "n_layers": 7, "dropout": 0.5}
+RUN_CONFIG, LEARNING_RATE = '{"seq_len": 128, "d_model": 64, "dropout": 0.1}', 3e-4
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -44,8 +45,8 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.split_lines(_docs(spark, sf), SEED)
 
 
-def _tokenizer(lines: DataFrame, merges: int = 0, coverage: float = 1.0) -> corpus.TrainedTokenizer:
-    return corpus.train_tokenizer(corpus.training_lines(lines), merges=merges, coverage=coverage)
+def _tokenizer(lines: DataFrame, merges: int = 0, coverage: float = 1.0, **options) -> corpus.TrainedTokenizer:
+    return corpus.train_tokenizer(corpus.training_lines(lines), merges=merges, coverage=coverage, **options)
 
 
 def _examples(spark: SparkSession, sf: str, merges: int = 0) -> tuple[DataFrame, corpus.TrainedTokenizer]:
@@ -138,6 +139,46 @@ def training_pairs(spark, sf):
     )
 
 
+def short_block_pairs(spark, sf):
+    """Blocks and the pairs made of them, for blocks of one id beside full ones."""
+    examples, _ = _examples(spark, sf)
+    order = docs_src.document_order(examples)
+    found = None
+    for seq_len in (1, SEQ_LEN):
+        blocks = corpus.corpus_blocks(examples, order, seq_len, BLOCKS_PER_SHARD)
+        made = blocks.groupBy("split").agg(F.count("*").alias("blocks"))
+        pairs = blk.training_pairs(blocks).groupBy("split").agg(F.count("*").alias("pairs"))
+        rows = made.join(pairs, "split", "left").select(
+            F.lit(seq_len).alias("seq_len"), "split", "blocks", F.coalesce("pairs", F.lit(0)).alias("pairs")
+        )
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def text_corpus_blocks(spark, sf):
+    """Blocks of the corpus after a detour through text files, with a stray file beside them."""
+    lines = _lines(spark, sf)
+    path = scratch_path(spark, "corpus.v1")
+    text_files.write_text_corpus(lines, path, ["doc_id", "line_no"])
+    spark.range(3).select(F.lit("not of the corpus").alias("line")).write.text(f"{path}/notes.txt")
+    stored = text_files.read_text_corpus(spark, path)
+    examples = corpus.encode_corpus(stored, _tokenizer(lines).tokenizer)
+    blocks = corpus.corpus_blocks(examples, text_files.text_order(examples), SEQ_LEN, BLOCKS_PER_SHARD)
+    return blocks.select(
+        "split", "block_id", "shard_id", "local_index", idf.fingerprint(F.col("tokens")).alias("tokens")
+    )
+
+
+def split_scan(spark, sf):
+    """Blocks of the one split that a reader asks for."""
+    blocks, _ = _packed(spark, sf)
+    path = scratch_path(spark, "packed")
+    shards.write_shards(blocks, path)
+    return shards.read_shards(spark, path, "val").select(
+        "split", "block_id", "shard_id", idf.fingerprint(F.col("tokens")).alias("tokens")
+    )
+
+
 def marker_free_blocks(spark, sf):
     blocks, _ = _packed(spark, sf)
     kept = idf.without_markers(F.col("tokens"))
@@ -254,7 +295,8 @@ def unigram_roundtrip(spark, sf):
 
 
 def tokenizer_metadata(spark, sf):
-    trained = _tokenizer(_lines(spark, sf), ENCODE_MERGES)
+    # The order in which reserved tokens are listed does not change their ids.
+    trained = _tokenizer(_lines(spark, sf), ENCODE_MERGES, special_tokens="[EOS],UNK,[BOS],[PAD],[EOS]")
     prefix = scratch_path(spark, "tokenizer")
     artifacts.write_tokenizer(trained.vocab, trained.merges, prefix)
     found = artifacts.special_ids(spark, f"{prefix}.meta.json")
@@ -310,7 +352,7 @@ def shard_manifest(spark, sf):
 
 def split_manifest(spark, sf):
     blocks, _ = _stored(spark, sf)
-    return blk.split_manifest(blocks).join(packing.width_report(blocks), "split")
+    return blk.token_manifest(blocks)
 
 
 def shard_checks(spark, sf):
@@ -337,7 +379,8 @@ def block_lookup(spark, sf):
 
 def block_fetch(spark, sf):
     blocks, _ = _stored(spark, sf)
-    found = blk.fetch(_requests(spark, sf), blocks)
+    located = blk.locate(_requests(spark, sf), blk.shard_offsets(blocks), cell=BLOCKS_PER_SHARD)
+    found = blk.fetch(materialize(located, "located"), blocks)
     return found.select("split", "block_index", idf.fingerprint(F.col("tokens")).alias("tokens"))
 
 
@@ -348,9 +391,8 @@ def shuffled_order(spark, sf):
 
 def batch_sizes(spark, sf):
     blocks, _ = _packed(spark, sf)
-    size = lambda n: F.greatest(F.lit(1), F.call_function("div", F.lit(bat.TARGET_BATCH_TOKENS), n))
     return blk.split_manifest(blocks).select(
-        "split", "seq_len", size(F.col("seq_len")).cast("bigint").alias("batch_size")
+        "split", "seq_len", bat.batch_size_of(F.col("seq_len")).alias("batch_size")
     )
 
 
@@ -489,9 +531,9 @@ def categorical_draw(spark, sf):
 
 
 def _generation_input(spark, sf):
-    """Prompts of the conversations and a score vector per context."""
+    """Prompts of the conversations and the counts of all contexts."""
     blocks, trained = _packed(spark, sf)
-    vectors = likelihood.context_vectors(_trained_counts(blocks), trained.size, SMOOTHING)
+    vectors = likelihood.context_model(_trained_counts(blocks), trained.size, SMOOTHING)
     prompts = codec.encode_lines(_prompts(spark, sf), trained.tokenizer, "text")
     prompts = prompts.withColumn("ids", idf.prompt_prefix(F.col("ids")))
     return generation.prompt_context(prompts, SEQ_LEN), vectors, trained
@@ -499,7 +541,7 @@ def _generation_input(spark, sf):
 
 def greedy_continuation(spark, sf):
     prompts, vectors, trained = _generation_input(spark, sf)
-    rows = generation.continue_greedy(prompts, vectors, trained.size, NEW_TOKENS)
+    rows = generation.continue_greedy(prompts, vectors, NEW_TOKENS)
     text = codec.decode_ids(rows, trained.vocab, "generated")
     return text.select("conv_id", "turn", F.array_join("generated", ",").alias("generated"), "text")
 
@@ -507,8 +549,8 @@ def greedy_continuation(spark, sf):
 def sampled_continuation(spark, sf):
     prompts, vectors, trained = _generation_input(spark, sf)
     rows = generation.continue_sampled(
-        prompts, vectors, trained.size, SAMPLED_TOKENS, ["conv_id", "turn"],
-        t=TEMPERATURE, k=TOP_K, p=0.6, penalty=PENALTY, seed=SEED,
+        prompts, vectors, SAMPLED_TOKENS, ["conv_id", "turn"],
+        t=TEMPERATURE, k=TOP_K, p=TOP_P, penalty=PENALTY, seed=SEED,
     )
     return rows.select("conv_id", "turn", F.array_join("generated", ",").alias("generated"))
 
@@ -545,18 +587,33 @@ def checkpoint_records(spark, sf):
     return records.select("kind", "run_id", "step", "perplexity")
 
 
-def runlog_sink(spark, sf):
+def _stored_log(spark, sf):
+    """The log and its checkpoint records as a reader finds them."""
     path = scratch_path(spark, "runlog")
     log = _log(spark, sf)
     log_src.append_runlog(log_ops.evaluation_rows(log, EVAL_EVERY), path)
-    log_src.append_runlog(log_ops.checkpoint_records(log, EVAL_EVERY, SAVE_EVERY), path)
-    stored = log_src.read_runlog(spark, path)
-    return stored.groupBy("run_id").agg(
+    records = log_ops.checkpoint_records(
+        log, EVAL_EVERY, SAVE_EVERY, config=RUN_CONFIG, learning_rate=LEARNING_RATE
+    )
+    log_src.append_runlog(records, path)
+    return log_src.read_runlog(spark, path)
+
+
+def runlog_sink(spark, sf):
+    return _stored_log(spark, sf).groupBy("run_id").agg(
         F.count("*").alias("records"), F.count("kind").alias("checkpoints"),
-        F.max("step").alias("last_step"), F.count("tokens").alias("with_tokens"),
+        F.max("step").alias("last_step"), F.count("config").alias("with_config"),
+        F.round(F.sum("learning_rate"), 6).alias("learning_rates"),
     )
 
 
+def checkpoint_configs(spark, sf):
+    """Model configurations of the stored records, absent fields filled in."""
+    records = _stored_log(spark, sf).where(F.col("kind").isNotNull())
+    fields = log_src.with_defaults(F.col("config"), log_src.CONFIG_DEFAULTS)
+    return records.select("kind", "run_id", "step", *fields)
+
+
 def config_defaults(spark, sf):
     events = spark.read.parquet(f"{sf}/events.parquet")
     return events.select("event_id", *log_src.with_defaults(F.col("props"), CONFIG))
@@ -566,6 +623,7 @@ QUERIES = {
     f.__name__: f
     for f in [
         corpus_lines, split_assignment, example_markers, prompt_contexts, training_pairs,
+        short_block_pairs, text_corpus_blocks, split_scan,
         marker_free_blocks, word_frequencies, symbol_pairs, bpe_merges, character_coverage,
         vocabulary_characters, vocabulary_merges, encode_characters, encode_merges,
         encode_byte_fallback, decode_lines, decode_blocks, piece_lookup, id_lookup,
@@ -576,6 +634,6 @@ QUERIES = {
         log_softmax, target_nll, vector_loss, temperature_scaling, repetition_penalty, softmax,
         top_k_filter, top_p_filter, sampling_distribution, categorical_draw, greedy_choice, greedy_continuation, sampled_continuation,
         evaluation_rows, save_rows, perplexity_improvements, best_checkpoint, last_checkpoint,
-        checkpoint_records, runlog_sink, config_defaults,
+        checkpoint_records, runlog_sink, checkpoint_configs, config_defaults,
     ]
 }

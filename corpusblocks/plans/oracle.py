@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from corpusblocks.operators.batches import TARGET_BATCH_TOKENS, batch_size
 from corpusblocks.plans import catalog as c
 
+# Stated here again, so that the operators' own values are checked.
+_TARGET_BATCH_TOKENS = 8192
+_BATCH = max(1, _TARGET_BATCH_TOKENS // c.SEQ_LEN)
+
 _SPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 _MARK = "▁"
 
@@ -131,9 +134,9 @@ positions AS (
     CAST('0x' || substr(md5('{c.SEED}:{c.EPOCH}:' || block_id), 1, 15) AS BIGINT), block_id) - 1 AS position,
     count(*) OVER (PARTITION BY split) AS n FROM blocks),
 plan AS (
-  SELECT split, {c.EPOCH} AS epoch, position // {batch_size(c.SEQ_LEN)} AS batch_no,
-    CAST(position % {batch_size(c.SEQ_LEN)} AS INT) AS slot, block_id
-  FROM positions WHERE position // {batch_size(c.SEQ_LEN)} < n // {batch_size(c.SEQ_LEN)})"""
+  SELECT split, {c.EPOCH} AS epoch, position // {_BATCH} AS batch_no,
+    CAST(position % {_BATCH} AS INT) AS slot, block_id
+  FROM positions WHERE position // {_BATCH} < n // {_BATCH})"""
 
 
 def _model(source: str, ids: str, by: str) -> str:
@@ -299,6 +302,14 @@ SELECT conv_id, turn, CAST(len(ids) AS INT) AS n_ids, CAST(least(len(ids), {c.CO
         "training_pairs": _with(
             f"SELECT split, block_id, {c.SEQ_LEN - 1} AS n, {_fp('tokens[1:len(tokens) - 1]')} AS inputs, "
             f"{_fp('tokens[2:]')} AS targets FROM blocks", *_PACKED),
+        "short_block_pairs": _with(
+            "SELECT CAST(1 AS INT) AS seq_len, split, CAST(sum(len(ids)) AS BIGINT) AS blocks, CAST(0 AS BIGINT) AS pairs "
+            f"FROM examples GROUP BY split UNION ALL SELECT CAST({c.SEQ_LEN} AS INT), split, count(*), count(*) "
+            "FROM blocks GROUP BY split", *_PACKED),
+        "text_corpus_blocks": _with(
+            f"SELECT split, block_id, shard_id, local_index, {_fp('tokens')} AS tokens FROM blocks", *_PACKED),
+        "split_scan": _with(
+            f"SELECT split, block_id, shard_id, {_fp('tokens')} AS tokens FROM blocks WHERE split = 'val'", *_PACKED),
         "marker_free_blocks": _with(
             f"SELECT split, block_id, CAST(len(k) AS INT) AS n, {_fp('k')} AS ids FROM (SELECT *, "
             "list_filter(tokens, lambda x: x NOT IN (0, 2, 3)) AS k FROM blocks)", *_PACKED),
@@ -365,12 +376,12 @@ FROM blocks, (SELECT list(replace(piece, '{_MARK}', ' ') ORDER BY token_id) AS s
         "shuffled_order": _with("SELECT split, block_id, position FROM positions", *_PACKED, _ORDERED),
         "batch_sizes": _with(
             "SELECT split, CAST(max(len(tokens)) AS INT) AS seq_len, "
-            f"greatest(1, {TARGET_BATCH_TOKENS} // max(len(tokens))) AS batch_size FROM blocks GROUP BY split", *_PACKED),
+            f"greatest(1, {_TARGET_BATCH_TOKENS} // max(len(tokens))) AS batch_size FROM blocks GROUP BY split", *_PACKED),
         "batch_plan": _with("SELECT * FROM plan", *_PACKED, _ORDERED),
         "evaluation_batches": _with(
-            f"SELECT split, 0 AS epoch, block_id // {batch_size(c.SEQ_LEN)} AS batch_no, "
-            f"CAST(block_id % {batch_size(c.SEQ_LEN)} AS INT) AS slot, block_id FROM blocks "
-            f"WHERE block_id // {batch_size(c.SEQ_LEN)} < {c.MAX_BATCHES}", *_PACKED),
+            f"SELECT split, 0 AS epoch, block_id // {_BATCH} AS batch_no, "
+            f"CAST(block_id % {_BATCH} AS INT) AS slot, block_id FROM blocks "
+            f"WHERE block_id // {_BATCH} < {c.MAX_BATCHES}", *_PACKED),
         "batch_contents": _with(
             f"SELECT split, epoch, batch_no, CAST(count(*) AS INT) AS blocks, {_fp('flatten(list(tokens ORDER BY slot))')} "
             "AS tokens FROM plan JOIN blocks USING (split, block_id) GROUP BY split, epoch, batch_no", *_PACKED, _ORDERED),
@@ -385,7 +396,7 @@ FROM blocks, (SELECT list(replace(piece, '{_MARK}', ' ') ORDER BY token_id) AS s
             f"SELECT g AS split, {_LOSS} FROM head_nll GROUP BY g", *_PACKED, _model("blocks", "tokens", "split"), f"""
 head_rows AS (
   SELECT split AS g, unnest(tokens[1:len(tokens) - 1]) AS a, unnest(tokens[2:]) AS b
-  FROM blocks WHERE block_id < {c.EVAL_BATCHES * batch_size(c.SEQ_LEN)}),
+  FROM blocks WHERE block_id < {c.EVAL_BATCHES * _BATCH}),
 head_nll AS (
   SELECT g, p.n, -ln((coalesce(m.n, 0) + {c.SMOOTHING} * p1) / (coalesce(x.c, 0) + {c.SMOOTHING})) AS nll
   FROM (SELECT g, a, b, count(*) AS n FROM head_rows GROUP BY ALL) p
@@ -420,7 +431,7 @@ FROM s{c.NEW_TOKENS}, (SELECT list(piece ORDER BY token_id) AS surface FROM voca
             *_PACKED, _model("blocks", "tokens", "split"), _PROMPTS, _DENSE, _greedy_rounds(c.NEW_TOKENS)),
         "sampled_continuation": _with(
             f"SELECT conv_id, turn, array_to_string(gen, ',') AS generated FROM s{c.SAMPLED_TOKENS}",
-            *_PACKED, _model("blocks", "tokens", "split"), _PROMPTS, _DENSE, _sampled_rounds(c.SAMPLED_TOKENS, 0.6)),
+            *_PACKED, _model("blocks", "tokens", "split"), _PROMPTS, _DENSE, _sampled_rounds(c.SAMPLED_TOKENS, c.TOP_P)),
         "greedy_choice": _with(
             "SELECT ctx_id, token_id FROM scores QUALIFY row_number() OVER (PARTITION BY ctx_id ORDER BY logit DESC, token_id) = 1",
             _SCORES),
@@ -438,10 +449,14 @@ WHERE previous_best IS NULL OR perplexity < previous_best""", _LOG),
             "SELECT * FROM runlog QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY step DESC) = 1", _LOG),
         "checkpoint_records": _with("SELECT kind, run_id, step, perplexity FROM records", _LOG, _RECORDS),
         "runlog_sink": _with(f"""
-SELECT run_id, count(*) AS records, count(kind) AS checkpoints, max(step) AS last_step, CAST(0 AS BIGINT) AS with_tokens
+SELECT run_id, count(*) AS records, count(kind) AS checkpoints, max(step) AS last_step, count(kind) AS with_config,
+  round(sum(CASE WHEN kind = 'last' THEN {c.LEARNING_RATE}::DOUBLE END), 6) AS learning_rates
 FROM (SELECT kind, run_id, step FROM records
   UNION ALL SELECT NULL, run_id, step FROM runlog WHERE step % {c.EVAL_EVERY} = 0 OR step = 1) GROUP BY run_id""",
             _LOG, _RECORDS),
+        "checkpoint_configs": _with(
+            "SELECT kind, run_id, step, 1024::BIGINT AS vocab_size, 128::BIGINT AS seq_len, 64::BIGINT AS d_model, "
+            "7::BIGINT AS n_layers, 4::BIGINT AS n_heads, 0.1::DOUBLE AS dropout FROM records", _LOG, _RECORDS),
         "config_defaults": "SELECT event_id, " + ", ".join(
             f"coalesce(CAST(json_extract_string(props, '$.{name}') AS "
             f"{'DOUBLE' if isinstance(value, float) else 'BIGINT'}), {value}) AS {name}"

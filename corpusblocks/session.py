@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,33 +12,38 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 SALTS = 16
 
-_local_scratch: dict[str, str] = {}
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """Folder shared by driver and executors, as named by ``spark.checkpoint.dir``.
+    """Folder shared by driver and executors: ``spark.checkpoint.dir``, else the warehouse.
 
-    Only a local master without that setting gets a folder of its own.
+    A warehouse on a local disk serves a local master only.
     """
     conf = spark.sparkContext.getConf()
     configured = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    local = warehouse.startswith("file:") or "://" not in warehouse
+    if local and not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="corpusblocks-")
-    return _local_scratch[app]
+    return warehouse.rstrip("/")
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/corpusblocks-{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application has written to the scratch folder; results read from it end, too."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the scratch root, in a folder of the running application.
 
-    Tables stay until that folder is deleted, since results read them lazily.
+    Tables stay until ``release``, since results read them lazily.
     """
-    app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/corpusblocks-{app}/{uuid.uuid4().hex}/{name}"
+    return f"{_application_folder(spark)}/{uuid.uuid4().hex}/{name}"
 
 
 def task_count(spark: SparkSession) -> int:

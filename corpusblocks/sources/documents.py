@@ -11,7 +11,8 @@ from corpusblocks.operators.prefix import Order, dense_levels
 from corpusblocks.session import spread
 
 SPLIT_BUCKETS = 10_000
-# Documents per finest bucket of the line order, as a power of two.
+# Lines of one document per finest bucket of the line order, and documents per next one, as powers of two.
+LINE_BITS = 12
 DOC_BITS = 6
 
 
@@ -47,8 +48,13 @@ def document_lines(docs: DataFrame) -> DataFrame:
 
 
 def document_order(docs: DataFrame) -> Order:
-    """Order of the lines of a document table inside each split."""
+    """Order of the lines of a document table inside each split.
+
+    The finest bucket holds ``2**LINE_BITS`` lines of one document, so a document of any
+    length is split; documents are bucketed above.
+    """
+    lines = F.struct("doc_id", F.shiftright("line_no", LINE_BITS).alias("part"))
     return Order(
-        group=("split",), sort=("doc_id", "line_no"),
-        levels=dense_levels(docs, "doc_id", first_bits=DOC_BITS),
+        group=("split",), sort=("line_no",),
+        levels=(lines, *dense_levels(docs, "doc_id", first_bits=DOC_BITS)),
     )

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as entry  # noqa: E402
+from corpusblocks.session import release  # noqa: E402
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -72,6 +73,7 @@ def main(sf_dir: str, names: list[str]) -> None:
             print(compare(spark, con, sf_dir, name), flush=True)
         except Exception as e:  # report and go on
             print(f"FAIL  {name}: {type(e).__name__} {str(e)[:600]}", flush=True)
+        release(spark)
     spark.stop()
 
 

@@ -47,13 +47,31 @@ def test_word_counts_shuffle_once(spark, sf_dir):
 def test_packing_shuffles_ids_twice_and_the_write_adds_none(packed):
     _, blocks, _ = packed
     plan = plan_of(blocks)
-    # One exchange of ids by bucket, one of pieces by shard; the others carry bucket totals.
+    # One exchange of ids by bucket, one of pieces by run of shards; the others carry bucket totals.
     assert plan.count("REPARTITION_BY_COL") == 1
-    assert shuffles(blocks) == 4
-    layout = blocks.select(*[f.name for f in shards.BLOCKS_SCHEMA]).repartition("split", "shard_id")
+    assert shuffles(blocks) == 7
+    layout = blocks.withColumn("shard_group", shards.shard_group(F.col("shard_id")))
+    layout = layout.sortWithinPartitions("split", "shard_group", "shard_id", "block_id")
     assert shuffles(layout) == shuffles(blocks)
 
 
+def test_fetch_scans_the_asked_shards_only(spark, packed, tmp_path):
+    _, blocks, _ = packed
+    shards.write_shards(blocks, str(tmp_path / "packed"))
+    stored = shards.read_shards(spark, str(tmp_path / "packed"))
+    asked = spark.createDataFrame([("train", 70), ("train", 130)], "split string, block_index long")
+    located = blk.locate(asked, blk.shard_offsets(stored), cell=64)
+    plan = plan_of(blk.fetch(located, stored))
+    assert any("shard_group" in part.split("\n")[0] for part in plan.split("PartitionFilters")[1:])
+    assert "GreaterThanOrEqual(shard_id,1), LessThanOrEqual(shard_id,2)" in plan
+
+
+def test_run_logs_are_aggregated_by_hash(spark, sf_dir):
+    for query in (catalog.best_checkpoint, catalog.last_checkpoint, catalog.checkpoint_records):
+        plan = plan_of(query(spark, sf_dir))
+        assert "SortAggregate" not in plan
+
+
 def test_score_vectors_need_no_shuffle(spark, sf_dir):
     for query in (catalog.log_softmax, catalog.softmax, catalog.top_k_filter, catalog.top_p_filter, catalog.greedy_choice):
         assert shuffles(query(spark, sf_dir)) == 0
@@ -78,8 +96,12 @@ def test_no_cross_joins(spark, packed, tmp_path):
     plans = [
         blocks, bat.batch_plan(blocks, 32), blk.locate(requests, blk.shard_offsets(blocks)),
         likelihood.evaluate(blocks, counts, trained.size), likelihood.next_token_model(counts, trained.size),
-        likelihood.context_vectors(counts, trained.size),
+        likelihood.context_model(counts, trained.size).table,
     ]
+    # A split that is fixed turns the join on it into a constant one.
+    shards.write_shards(blocks, str(tmp_path / "packed"))
+    train = shards.read_shards(spark, str(tmp_path / "packed"), "train")
+    plans += [bat.batch_plan(train, 32), bat.batches(bat.batch_plan(train, 32), train)]
     for df in plans:
         plan = plan_of(df)
         assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan

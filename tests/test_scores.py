@@ -103,7 +103,7 @@ def token_blocks(spark):
     return rows, spark.createDataFrame(rows, "split string, block_id long, tokens array<int>")
 
 
-def test_next_token_model_and_perplexity(token_blocks):
+def test_next_token_model_and_perplexity(spark, token_blocks):
     rows, df = token_blocks
     prob = model_of([t for s, _, t in rows if s == "train"])
     counts = likelihood.neighbour_counts(df.where("split = 'train'"))
@@ -116,12 +116,18 @@ def test_next_token_model_and_perplexity(token_blocks):
             nll = [-math.log(prob(a, b)) for s, _, t in rows if s == split for a, b in zip(t, t[1:])]
             assert got[split]["tokens"] == len(nll)
             assert math.isclose(got[split]["loss"], np.mean(nll)) and math.isclose(got[split]["perplexity"], math.exp(np.mean(nll)))
-    vectors = {r["input_id"]: r["logits"] for r in likelihood.context_vectors(counts, SIZE).collect()}
+    vectors = vectors_of(spark, likelihood.context_model(counts, SIZE))
     assert sorted(vectors) == list(range(SIZE))
     for a, v in vectors.items():
         assert np.allclose(np.exp(v), [prob(a, b) for b in range(SIZE)])
 
 
+def vectors_of(spark, model):
+    """Score vectors of all contexts, seen or not."""
+    every = spark.range(SIZE).select(F.col("id").cast("int").alias("input_id")).join(model.table, "input_id", "left")
+    return {r[0]: r[1] for r in every.select("input_id", model.logits(F.col("c"), F.col("by_target"))).collect()}
+
+
 def hash_uniform(*parts):
     import hashlib
     return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:13], 16) / 2**52
@@ -131,17 +137,17 @@ def hash_uniform(*parts):
 def test_generation(spark, token_blocks, penalty):
     rows, df = token_blocks
     counts = likelihood.neighbour_counts(df.where("split = 'train'"))
-    vectors = likelihood.context_vectors(counts, SIZE)
-    table = {r["input_id"]: r["logits"] for r in vectors.collect()}
     # Token 3 ends a text; make it likely after token 4.
-    boost = F.when(F.col("input_id") == 4, F.transform("logits", lambda x, i: F.when(i == 3, F.lit(5.0)).otherwise(x))).otherwise(F.col("logits"))
-    vectors = vectors.withColumn("logits", boost)
-    table[4][3] = 5.0
+    counts = counts.where("input_id <> 4 or target_id <> 3").unionByName(
+        spark.createDataFrame([(4, 3, 10_000)], "input_id int, target_id int, n long")
+    )
+    model = likelihood.context_model(counts, SIZE)
+    table = vectors_of(spark, model)
     prompts = [(i, [2, i % SIZE]) for i in range(30)]
     pdf = spark.createDataFrame(prompts, "i long, ids array<int>")
     settings = dict(t=0.9, k=4, p=0.9, penalty=penalty)
-    sampled = {r["i"]: r["generated"] for r in generation.continue_sampled(pdf, vectors, SIZE, 10, ["i"], seed=9, **settings).collect()}
-    greedy = {r["i"]: r["generated"] for r in generation.continue_greedy(pdf, vectors, SIZE, 10).collect()}
+    sampled = {r["i"]: r["generated"] for r in generation.continue_sampled(pdf, model, 10, ["i"], seed=9, **settings).collect()}
+    greedy = {r["i"]: r["generated"] for r in generation.continue_greedy(pdf, model, 10).collect()}
     for i, ids in prompts:
         last, out = ids[-1], []
         for step in range(10):

@@ -214,3 +214,31 @@ def test_id_expressions(spark):
     assert [r[0] for r in widths.collect()] == ["uint16", "uint32"]
     utf8 = spark.createDataFrame([("é😀",)], "c string").select(codec.utf8_ids(F.col("c"))).first()[0]
     assert utf8 == [4 + b for b in "é😀".encode()]
+
+
+def test_folders_and_files_are_told_by_the_file_system(spark, tmp_path):
+    folder = tmp_path / "v1.0"
+    folder.mkdir()
+    (folder / "train.txt").write_text("one\ntwo\n")
+    (folder / "notes.txt").write_text("stray\n")
+    rows = text_files.read_text_corpus(spark, str(folder)).collect()
+    assert [(r["split"], r["line"]) for r in rows] == [("train", "one"), ("train", "two")]
+    (tmp_path / "train").write_text("only\n")
+    assert [(r["split"], r["line"]) for r in text_files.read_text_corpus(spark, str(tmp_path / "train")).collect()] == [
+        ("train", "only")
+    ]
+    with pytest.raises(FileNotFoundError):
+        text_files.read_text_corpus(spark, str(tmp_path / "absent"))
+    (tmp_path / "none").mkdir()
+    assert text_files.read_text_corpus(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_a_long_document_is_split_into_buckets(spark):
+    lines = spark.range(100_000).select(
+        F.lit("train").alias("split"), F.lit(7).cast("long").alias("doc_id"), F.col("id").cast("int").alias("line_no"),
+        F.array(F.lit(1)).alias("ids"),
+    )
+    order = documents.document_order(lines)
+    assert lines.groupBy(order.levels[0]).count().agg(F.max("count")).first()[0] <= 4096
+    offsets = packing.token_offsets(lines, order)
+    assert offsets.where(F.col("first_token") != F.col("line_no")).count() == 0
