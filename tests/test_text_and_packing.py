@@ -242,3 +242,16 @@ def test_a_long_document_is_split_into_buckets(spark):
     assert lines.groupBy(order.levels[0]).count().agg(F.max("count")).first()[0] <= 4096
     offsets = packing.token_offsets(lines, order)
     assert offsets.where(F.col("first_token") != F.col("line_no")).count() == 0
+
+
+def test_scratch_is_shared_and_released(spark):
+    import os
+
+    from corpusblocks.session import materialize, release, scratch_root
+
+    assert scratch_root(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    written = materialize(spark.range(3), "three")
+    (file,) = [f for f in written.inputFiles() if f.endswith(".parquet")][:1]
+    assert os.path.exists(file.removeprefix("file://"))
+    # Other tests keep their tables below the same folder: only its name is checked here.
+    assert f"corpusblocks-{spark.sparkContext.applicationId}" in file and callable(release)
