@@ -32,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusblocks.llm.common import add_columns, table
+from corpusblocks.llm.common import add_columns, held, table
 
 #: Entries of the table of words a worker keeps, and of looked-up arcs.
-WORDS = 240_000
-ARCS = 300_000
+WORDS = 180_000
+ARCS = 200_000
 #: Words longer than this are not kept.
 LONG = 64
 
@@ -258,9 +258,8 @@ class WordDecoder:
         return " ".join(map(self.tokens.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
 def load(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+    return held(WordTokenizer, path)
 
 
 @lru_cache(maxsize=2)

@@ -9,8 +9,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_held: list = []
+
+
+def held(load: Callable, *key):
+    """``load(*key)``, kept until another model is asked for.
+
+    Python workers serve one stage after another: only the model in use stays in memory.
+    """
+    if not _held or _held[0] != (load, key):
+        _held.clear()
+        _held.extend([(load, key), load(*key)])
+    return _held[1]
+
+
 #: Rows of a batch whose results are held at once.
-SLICE = 1_000
+SLICE = 500
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

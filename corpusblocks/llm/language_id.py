@@ -17,14 +17,12 @@ hash names. The whole texts are what is predicted.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusblocks.llm.common import add_columns, fold_of, packed, table, whole_text
+from corpusblocks.llm.common import add_columns, fold_of, held, packed, table, whole_text
 
 #: Bounds of what is learned from, per language.
 SAMPLE_DOCS = 128
@@ -41,7 +39,10 @@ LETTER = r"\p{L}"
 
 
 class SuffixAutomaton:
-    """All substrings of a text of small integers, as one table ``[state, symbol] -> state`` (0: none)."""
+    """All substrings of a text of small integers; arcs ``[state, symbol] -> state`` (0: none).
+
+    Most states have one arc, kept as its symbol and target; only the others have a row in a table.
+    """
 
     def __init__(self, text: list[int], symbols: int):
         move: list[dict[int, int]] = [{}, {}]
@@ -68,10 +69,17 @@ class SuffixAutomaton:
                         p = link[p]
                     q = clone
                 link[new] = q
-        self.table = np.zeros((len(move), symbols), np.int32)
+        several = [state for state, arcs in enumerate(move) if len(arcs) > 1]
+        self.row = np.zeros(len(move), np.int32)  # row 0 is empty
+        self.row[several] = np.arange(1, len(several) + 1)
+        self.table = np.zeros((len(several) + 1, symbols), np.int32)
+        self.symbol = np.full(len(move), -1, np.int32)
+        self.target = np.zeros(len(move), np.int32)
         for state, arcs in enumerate(move):
-            if arcs:
-                self.table[state, list(arcs)] = list(arcs.values())
+            if len(arcs) == 1:
+                ((self.symbol[state], self.target[state]),) = arcs.items()
+            elif arcs:
+                self.table[self.row[state], list(arcs)] = list(arcs.values())
 
 
 class Model:
@@ -83,13 +91,19 @@ class Model:
         self.codes = np.zeros(max(alphabet, default=0) + 2, np.int32)
         self.codes[alphabet] = np.arange(1, len(alphabet) + 1)
         self.symbols = len(alphabet) + 1
-        tables, self.starts, base = [], [], 0
+        parts, self.starts, base, rows = [], [], 0, 0
         for _, text in samples:
-            own = SuffixAutomaton([int(self.codes[ord(c)]) for c in text], self.symbols).table
-            tables.append(np.where(own > 0, own + base, 0))
+            own = SuffixAutomaton([int(self.codes[ord(c)]) for c in text], self.symbols)
+            for targets in (own.table, own.target):
+                targets[targets > 0] += base
+            own.row += rows
+            parts.append((own.row, own.symbol, own.target, own.table))
             self.starts.append(base + 1)
-            base += len(own)
-        self.table = np.concatenate(tables).astype(np.int32).ravel() if tables else np.zeros(0, np.int32)
+            base += len(own.row)
+            rows += len(own.table)
+        if parts:
+            self.row, self.symbol, self.target, table = (np.concatenate(x) for x in zip(*parts))
+            self.table = table.ravel()
         self.cost = np.log2([max(2, len(text)) for _, text in samples])
 
     def encode(self, text: str) -> np.ndarray:
@@ -109,7 +123,9 @@ class Model:
         active = np.searchsorted(-lengths, -np.arange(len(steps)), side="left")  # lanes longer than the step
         for step, lanes in enumerate(active):
             now = state[:, :lanes]
-            following = self.table[now * self.symbols + steps[step, :lanes]]
+            code = steps[step, :lanes]
+            several = self.table[self.row[now] * self.symbols + code]
+            following = np.where(self.symbol[now] == code, self.target[now], several)
             ended = following == 0
             phrases[:, :lanes] += ended
             state[:, :lanes] = np.where(ended, starts, following)
@@ -135,9 +151,8 @@ class Model:
         return total * self.cost / sizes
 
 
-@lru_cache(maxsize=2)
 def _model(samples: tuple[tuple[str, str], ...]) -> Model:
-    return Model(samples)
+    return held(Model, samples)
 
 
 def folded(column: str = "text") -> Column:

@@ -22,7 +22,6 @@ import base64
 import os
 import re
 from bisect import bisect_left
-from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -30,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusblocks.llm.common import add_columns, table, whole_text
+from corpusblocks.llm.common import add_columns, held, table, whole_text
 
 #: Code points of one chunk, and of the first overlap tried.
 CHUNK = 16_384
@@ -84,9 +83,8 @@ class Encoder:
         return [start for start, _ in self.tokenizer.encode(text, add_special_tokens=False).offsets]
 
 
-@lru_cache(maxsize=2)
 def load(path: str, ranks_path: str | None = None) -> Encoder:
-    return Encoder(path, ranks_path)
+    return held(Encoder, path, ranks_path)
 
 
 def _stable(text: str, place: int) -> bool:
