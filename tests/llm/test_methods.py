@@ -44,6 +44,13 @@ def test_word_tokenizer_is_the_library():
         assert decoder.decode(ids) == library.decode(ids, skip_special_tokens=False)
 
 
+def test_round_trip_is_encoding_then_decoding(spark, docs):
+    path = P.path("word_bpe_49k.json")
+    apart = bpe_automaton.decode(bpe_automaton.encode(docs.select("text"), path), path)
+    together = bpe_automaton.round_trip(docs.select("text"), path)
+    assert sorted(apart.collect(), key=repr) == sorted(together.select(*apart.columns).collect(), key=repr)
+
+
 @pytest.mark.parametrize("chunk, overlap", [(16_384, 256), (200, 8), (31, 1)])
 @pytest.mark.parametrize("ranks", [None, "byte_bpe_50k.tiktoken"])
 def test_spliced_counts_are_whole_counts(chunk, overlap, ranks):
