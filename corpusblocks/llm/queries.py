@@ -10,6 +10,7 @@ from corpusblocks.llm.mixing import op9_fair_mixing
 from corpusblocks.llm.neighbours import op10_graph_neighbours
 from corpusblocks.llm.secrets import RULES, op7_secret_ledger
 from corpusblocks.llm.simhash import op8_simhash_groups
+from corpusblocks.llm.spelling import op12_spelling_variants
 from corpusblocks.llm.token_counts import op5_token_counts
 from corpusblocks.llm.toxicity import op6_toxicity
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_simhash_groups": op8_simhash_groups,
     "op9_fair_mixing": op9_fair_mixing,
     "op10_graph_neighbours": op10_graph_neighbours,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 # Weighted fair queueing with windows over whole sources, which a single machine can afford.
