@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from corpusblocks.llm.alignment import op11_pair_bitmaps
 from corpusblocks.llm.bpe_automaton import op1_bpe_automaton
 from corpusblocks.llm.fingerprints import op3_fingerprints
 from corpusblocks.llm.language_id import op2_language_id
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_simhash_groups": op8_simhash_groups,
     "op9_fair_mixing": op9_fair_mixing,
     "op10_graph_neighbours": op10_graph_neighbours,
+    "op11_pair_bitmaps": op11_pair_bitmaps,
     "op12_spelling_variants": op12_spelling_variants,
 }
 
