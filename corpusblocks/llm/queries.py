@@ -9,6 +9,7 @@ from corpusblocks.llm.language_id import op2_language_id
 from corpusblocks.llm.line_dedup import op4_line_dedup
 from corpusblocks.llm.mixing import op9_fair_mixing
 from corpusblocks.llm.neighbours import op10_graph_neighbours
+from corpusblocks.llm.personal import op13_personal_data
 from corpusblocks.llm.secrets import RULES, op7_secret_ledger
 from corpusblocks.llm.simhash import op8_simhash_groups
 from corpusblocks.llm.spelling import op12_spelling_variants
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_graph_neighbours": op10_graph_neighbours,
     "op11_pair_bitmaps": op11_pair_bitmaps,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_personal_data": op13_personal_data,
 }
 
 # Weighted fair queueing with windows over whole sources, which a single machine can afford.
