@@ -3,13 +3,20 @@
 A word is kept as a string in which every symbol stands between two spaces
 (`` ▁  t  h  e ``). Words hold no spaces, so merging a pair is one plain
 ``replace``, left to right and without overlaps, in Spark and in SQL alike.
-All counting runs on distinct words weighted by frequency; the driver only ever
-sees the few best pairs of a round and the merge list, both bounded by the
-vocabulary size.
+All counting runs on distinct words weighted by frequency.
+
+Learning keeps a standing count of the pairs and an inverted index from the two
+characters at a symbol boundary to the words that have such a boundary. A merge
+changes the words that hold its pair only; they are found through the index, and what
+they lose and gain is added to the standing count. Nothing else is counted again.
 """
 
 from __future__ import annotations
 
+import heapq
+import json
+from collections import defaultdict
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +32,13 @@ BYTE_PIECE = "<0x%02X>"
 N_BYTES = 256
 FIRST_LEARNED_ID = FIRST_BYTE_ID + N_BYTES
 
-TOP_PAIRS = 200
-# Merges replayed on the fly before the word table is written again.
-MERGES_PER_CUT = 20
+# Pairs of which the driver keeps the counts; the others are known to be rarer.
+TOP_PAIRS = 50_000
+# Merges foreseen in a round, and merges replayed on the fly before words and index are written again.
+MERGES_PER_ROUND = 24
+MERGES_PER_CUT = 160
+# Rows of the index that share a folder.
+SHELF_ROWS = 1_000_000
 
 
 def special_tokens(names: str = "[PAD],[BOS],[EOS],[UNK]") -> dict[str, str]:
@@ -92,17 +103,31 @@ def symbol_table(words: DataFrame, uncovered: list[str] | None = None) -> DataFr
     return words.select(_symbols_of(F.col("word"), uncovered).alias("symbols"), "freq")
 
 
-def apply_merges(symbols: Column, merges: list[tuple[str, str]]) -> Column:
-    """Replay a list of merges, in order, on a delimited symbol string.
+def _steps(merges: list[tuple[str, str]]) -> str:
+    """SQL of the merges as an array constant of ``(step, old, new, key)``; ``key`` are the characters at the boundary.
 
-    The list is one array constant, so every round of learning runs the same
-    generated code; a chain of calls would be compiled anew each time.
+    The list travels as one string and is folded into a constant, so that every round of
+    learning runs the same generated code; a chain of calls would be compiled anew each time.
     """
-    steps = F.array(*[
-        F.struct(F.lit(f" {left}  {right} ").alias("old"), F.lit(f" {left}{right} ").alias("new"))
-        for left, right in merges
-    ]).cast("array<struct<old: string, new: string>>")
-    return F.aggregate(steps, symbols, lambda s, m: F.replace(s, m["old"], m["new"]))
+    listed = [
+        {"step": i, "old": f" {left}  {right} ", "new": f" {left}{right} ", "key": left[-1] + right[0]}
+        for i, (left, right) in enumerate(merges, 1)
+    ]
+    text = f"cast(X'{json.dumps(listed).encode().hex()}' AS string)"
+    return f"from_json({text}, 'array<struct<step: int, old: string, new: string, key: string>>')"
+
+
+def apply_merges(symbols: str, merges: list[tuple[str, str]]) -> str:
+    """SQL that replays a list of merges, in order, on a column of delimited symbol strings."""
+    return f"aggregate({_steps(merges)}, {symbols}, (s, m) -> replace(s, m.old, m.new))"
+
+
+def _neighbours(symbols: str) -> str:
+    """SQL of ``(left, right)`` of all neighbours in a delimited symbol string; empty symbols have none."""
+    # Splitting at a single character needs no regular expression.
+    parts = f"split(replace(substr({symbols}, 2, length({symbols}) - 2), '  ', ' '), ' ')"
+    pairs = "transform(a, (x, i) -> struct(x AS left, get(a, i + 1) AS right))"
+    return f"transform(array({parts}), a -> filter({pairs}, p -> p.left <> '' AND p.right <> ''))[0]"
 
 
 def pair_counts(symbols: DataFrame) -> DataFrame:
@@ -156,40 +181,190 @@ def independent_batch(
     return (taken or ranked[:1])[:limit]
 
 
+class StandingCounts:
+    """Counts of the most frequent pairs; every pair left out has at most ``floor``.
+
+    Counts of pairs only fall, but for pairs of a symbol just made, whose counts arrive
+    whole. So a pair left out stays below the floor, and the best pair is known as
+    long as its count is above. What is kept is bounded by ``TOP_PAIRS`` and by what
+    merges add, whatever the corpus.
+    """
+
+    def __init__(self, ranked: list[tuple[str, str, int]], limit: int):
+        self.floor = ranked[limit][2] if len(ranked) > limit else 0
+        self.counts = {(left, right): freq for left, right, freq in ranked[:limit]}
+        self.heap = [(-freq, pair) for pair, freq in self.counts.items()]
+        heapq.heapify(self.heap)
+        self.fresh = True
+
+    def best(self) -> tuple[str, str] | None:
+        """The pair to merge next; None when the counts kept cannot tell."""
+        while self.heap and self.counts.get(self.heap[0][1]) != -self.heap[0][0]:
+            heapq.heappop(self.heap)
+        if not self.heap or not (self.fresh or -self.heap[0][0] > self.floor):
+            return None
+        return self.heap[0][1]
+
+    def add(self, changes: dict[tuple[str, str], int]) -> None:
+        self.fresh = False
+        for pair, change in changes.items():
+            freq = self.counts.get(pair, 0) + change
+            if pair in self.counts and freq <= 0:
+                del self.counts[pair]
+            elif pair in self.counts or freq > self.floor:
+                self.counts[pair] = freq
+                heapq.heappush(self.heap, (-freq, pair))
+
+    def foresee(self, steps: int, window: int = 400) -> list[tuple[str, str]]:
+        """The merges that probably come next, the first of them certainly.
+
+        Pairs that share a symbol with a merge are taken to follow it in proportion.
+        A wrong guess costs the steps behind it, nothing else.
+        """
+        seen: dict[str, float] = defaultdict(float)
+        ends: dict[str, float] = defaultdict(float)
+        for (left, right), freq in self.counts.items():
+            seen[left] += freq
+            ends[right] += freq
+        total = {x: max(seen[x], ends[x], 1.0) for x in seen.keys() | ends.keys()}
+        likely = dict(heapq.nsmallest(window, self.counts.items(), key=lambda e: (-e[1], e[0])))
+        found: list[tuple[str, str]] = []
+        while likely and len(found) < steps:
+            a, b = pair = min(likely, key=lambda p: (-likely[p], p))
+            freq = likely.pop(pair)
+            found.append(pair)
+            made = a + b
+            for (x, y), n in list(likely.items()):
+                if y == a:
+                    likely[x, y], likely[x, made] = n * (1 - freq / total[a]), n * freq / total[a]
+                elif x == b:
+                    likely[x, y], likely[made, y] = n * (1 - freq / total[b]), n * freq / total[b]
+            total[made] = max(freq, 1.0)
+            total[a], total[b] = max(total[a] - freq, freq, 1.0), max(total[b] - freq, freq, 1.0)
+        return found
+
+
+def _boundary_index(table: DataFrame) -> tuple[DataFrame, int]:
+    """``(shelf, key, symbols, freq)``: every word under each pair of characters at its symbol boundaries.
+
+    Sorted by shelf and key, so that a lookup reads few folders and row groups; a
+    frequent key spans several files. Also the number of shelves.
+    """
+    boundaries = f"transform({_neighbours('symbols')}, p -> concat(right(p.left, 1), left(p.right, 1)))"
+    keys = F.expr(f"array_distinct({boundaries})")
+    spark = table.sparkSession
+    rows = table.agg(F.sum(F.size(keys))).first()[0] or 0
+    shelves = rows // SHELF_ROWS + 1
+    listed = table.select(F.explode(keys).alias("key"), "symbols", "freq").withColumn("shelf", _shelf(F.col("key"), shelves))
+    if shelves > 1:
+        listed = listed.repartitionByRange(
+            max(task_count(spark), shelves), "shelf", "key", F.xxhash64("symbols")
+        ).sortWithinPartitions("shelf", "key")
+    return materialize(listed, "boundaries", by=["shelf"] if shelves > 1 else []), shelves
+
+
+def _shelf(key: Column, shelves: int) -> Column:
+    return F.pmod(F.crc32(F.encode(key, "UTF-8")), F.lit(shelves)).cast("int")
+
+
+def _changes(
+    index: DataFrame, shelves: int, pending: list[tuple[str, str]], plan: list[tuple[str, str]]
+) -> list[dict[tuple[str, str], int]]:
+    """By step of the plan, what every pair gains or loses.
+
+    A word that any step changes holds the pair of some step already before the first,
+    and is taken from the boundary of the first such step only, so none is counted twice.
+    """
+    keys = sorted({left[-1] + right[0] for left, right in plan})
+    # A constant keeps the generated code the same in every round; where there is something to skip,
+    # folders and row groups are skipped.
+    near = index.where(F.array_contains(F.split(F.lit("\n".join(keys)), "\n"), F.col("key")))
+    if shelves > 1:
+        folders = index.sparkSession.range(1).select(F.array(*[_shelf(F.lit(k), shelves) for k in keys])).first()[0]
+        near = near.where(F.col("shelf").isin(sorted(set(folders))) & F.col("key").isin(keys))
+    # One walk over the steps notes the states before and after each step that changes the word.
+    walk = f"""aggregate({_steps(plan)},
+      struct(s AS s, cast(array() AS array<struct<step: int, before: string, after: string>>) AS moves),
+      (d, m) -> transform(array(replace(d.s, m.old, m.new)), t -> CASE WHEN t = d.s THEN d ELSE struct(
+        t AS s, concat(d.moves, array(struct(m.step AS step, d.s AS before, t AS after))) AS moves) END)[0],
+      d -> d.moves)"""
+    signed = "transform({0}, p -> struct(p.left AS left, p.right AS right, {1} AS n))"
+    pairs = (
+        # Exploding an array of one keeps an expression from being evaluated again wherever its column is used.
+        near.selectExpr("key", "freq", f"explode(array({apply_merges('symbols', pending)})) AS s")
+        .where(f"key = get(filter({_steps(plan)}, m -> contains(s, m.old)), 0).key")
+        .selectExpr("freq", f"inline({walk})")
+        .selectExpr("step", f"""inline(concat(
+            {signed.format(_neighbours('before'), '-freq')}, {signed.format(_neighbours('after'), 'freq')}))""")
+    )
+    rows = pairs.groupBy("step", "left", "right").agg(F.sum("n").alias("n")).where("n <> 0").collect()
+    changes: list[dict[tuple[str, str], int]] = [{} for _ in plan]
+    for r in rows:
+        changes[r["step"] - 1][r["left"], r["right"]] = r["n"]
+    return changes
+
+
 def learn_merges(
-    words: DataFrame, count: int, uncovered: list[str] | None = None, top_pairs: int = TOP_PAIRS
+    words: DataFrame,
+    count: int | None = None,
+    uncovered: list[str] | None = None,
+    top_pairs: int = TOP_PAIRS,
+    pieces: int | None = None,
 ) -> list[tuple[str, str, int]]:
-    """The first ``count`` merges as ``(left, right, freq)``, fewer if pairs run out.
-
-    Each round is one Spark job: count neighbours over the word table and bring
-    the ``top_pairs`` best to the driver, which picks every merge that is already
-    certain. The word table is written to shared storage after some merges,
-    without the words that have become a single symbol; that bounds the plan, the
-    replaying and what a lost executor costs.
+    """The first merges as ``(left, right, freq)``: ``count`` of them, or as many as make ``pieces`` new strings.
+
+    Fewer, if pairs run out. The best pair by (frequency descending, left, right) is merged
+    each time. A round is one Spark job over the words that hold one of the pairs
+    foreseen: it says step by step how the counts change, and the driver takes the steps
+    as long as each was the best one at its turn. Words and index are written again
+    after some merges, without the words that have become a single symbol, which
+    bounds the replaying and what a lost executor costs.
     """
     spark = words.sparkSession
-    table = symbol_table(words, uncovered).repartition(task_count(spark), "symbols")
-    table = materialize(table, "symbols")
+    table = symbol_table(words, uncovered).where(F.col("symbols").contains("  "))
+    table = materialize(table.repartition(task_count(spark), "symbols"), "symbols")
+    index, shelves = _boundary_index(table)
     merges: list[tuple[str, str, int]] = []
     built: set[str] = set()
     pending: list[tuple[str, str]] = []
-    while len(merges) < count:
-        current = table.withColumn("symbols", apply_merges(F.col("symbols"), pending))
+
+    def wanted() -> bool:
+        return (count is None or len(merges) < count) and (pieces is None or len(built) < pieces)
+
+    standing, ahead = None, 4
+    while wanted():
+        if standing is None:
+            current = table.selectExpr(f"{apply_merges('symbols', pending)} AS symbols", "freq")
+            ranked = pair_counts(current).orderBy(F.desc("freq"), "left", "right").limit(top_pairs + 1).collect()
+            if not ranked:
+                break
+            standing = StandingCounts([tuple(r) for r in ranked], top_pairs)
+        if standing.best() is None:
+            if not standing.floor:
+                break
+            standing = None
+            continue
+        plan = standing.foresee(ahead)
+        done = len(merges)
+        for pair, change in zip(plan, _changes(index, shelves, pending, plan)):
+            if not wanted() or standing.best() != pair:
+                break
+            merges.append((*pair, standing.counts[pair]))
+            pending.append(pair)
+            standing.add(change)
+            made = "".join(pair)
+            if made in built or len(made) == 1:
+                # The string existed before, so pairs left out may have gained.
+                standing = None
+                break
+            built.add(made)
+        # As many steps as pay: twice what the last round could take.
+        ahead = min(MERGES_PER_ROUND, 2 * (len(merges) - done))
         if len(pending) >= MERGES_PER_CUT:
-            unfinished = current.where(F.col("symbols").contains("  "))
-            table = current = materialize(unfinished, "symbols")
+            table = table.selectExpr(f"{apply_merges('symbols', pending)} AS symbols", "freq")
+            table = materialize(table.where(F.col("symbols").contains("  ")), "symbols")
+            index, shelves = _boundary_index(table)
             pending = []
-        best = (
-            pair_counts(current)
-            .orderBy(F.desc("freq"), "left", "right").limit(top_pairs).collect()
-        )
-        if not best:
-            break
-        ranked = [(r["left"], r["right"], r["freq"]) for r in best]
-        batch = independent_batch(ranked, built, count - len(merges), len(best) < top_pairs)
-        merges += batch
-        pending += [(left, right) for left, right, _ in batch]
-        built |= {left + right for left, right, _ in batch}
     return merges
 
 

@@ -13,7 +13,7 @@ from corpusblocks.operators import blocks as blk
 from corpusblocks.operators import bpe, codec, generation, likelihood, packing
 from corpusblocks.operators import runlog as log_ops
 from corpusblocks.plans import corpus
-from corpusblocks.session import materialize, scratch_path, spread
+from corpusblocks.session import kept_path, materialize, scratch_path, spread
 from corpusblocks.sources import artifacts, shards, text_files
 from corpusblocks.sources import documents as docs_src
 from corpusblocks.sources import runlog as log_src
@@ -22,8 +22,7 @@ from corpusblocks.sources import runlog as log_src
 SEED = 42
 SEQ_LEN = 256
 BLOCKS_PER_SHARD = 1024
-MERGES = 24
-ENCODE_MERGES = 12
+VOCAB_SIZE = 1024
 COVERAGE = 0.98
 UNIGRAM_SIZE, UNIGRAM_SEEDS = 1024, 2000
 EPOCH = 1
@@ -45,14 +44,22 @@ def _lines(spark: SparkSession, sf: str) -> DataFrame:
     return corpus.split_lines(_docs(spark, sf), SEED)
 
 
-def _tokenizer(lines: DataFrame, merges: int = 0, coverage: float = 1.0, **options) -> corpus.TrainedTokenizer:
-    return corpus.train_tokenizer(corpus.training_lines(lines), merges=merges, coverage=coverage, **options)
+def _characters(lines: DataFrame, coverage: float = 1.0) -> corpus.TrainedTokenizer:
+    """A tokenizer without merges."""
+    return corpus.train_tokenizer(corpus.training_lines(lines), merges=0, coverage=coverage)
 
 
-def _examples(spark: SparkSession, sf: str, merges: int = 0) -> tuple[DataFrame, corpus.TrainedTokenizer]:
-    lines = _lines(spark, sf)
-    trained = _tokenizer(lines, merges)
-    return corpus.encode_corpus(lines, trained.tokenizer), trained
+def _tokenizer(spark: SparkSession, sf: str, **options) -> corpus.TrainedTokenizer:
+    """The tokenizer of the corpus, trained to the full vocabulary once and loaded from where it is stored."""
+    name = "-".join(["tokenizer", *[f"{k}={v}" for k, v in sorted(options.items())]]).replace("[", "").replace("]", "")
+    prefix = kept_path(spark, spark.read.parquet(f"{sf}/documents.parquet"), name)
+    lines = corpus.training_lines(_lines(spark, sf))
+    return corpus.stored_tokenizer(lines, prefix, vocab_size=VOCAB_SIZE, **options)
+
+
+def _examples(spark: SparkSession, sf: str) -> tuple[DataFrame, corpus.TrainedTokenizer]:
+    trained = _tokenizer(spark, sf)
+    return corpus.encode_corpus(_lines(spark, sf), trained.tokenizer), trained
 
 
 def _packed(spark: SparkSession, sf: str) -> tuple[DataFrame, corpus.TrainedTokenizer]:
@@ -115,7 +122,7 @@ def example_markers(spark, sf):
 
 
 def prompt_contexts(spark, sf):
-    trained = _tokenizer(_lines(spark, sf))
+    trained = _tokenizer(spark, sf)
     prompts = _prompts(spark, sf)
     encoded = codec.encode_lines(prompts, trained.tokenizer, "text")
     prefixed = encoded.withColumn("ids", idf.prompt_prefix(F.col("ids")))
@@ -162,7 +169,7 @@ def text_corpus_blocks(spark, sf):
     text_files.write_text_corpus(lines, path, ["doc_id", "line_no"])
     spark.range(3).select(F.lit("not of the corpus").alias("line")).write.text(f"{path}/notes.txt")
     stored = text_files.read_text_corpus(spark, path)
-    examples = corpus.encode_corpus(stored, _tokenizer(lines).tokenizer)
+    examples = corpus.encode_corpus(stored, _tokenizer(spark, sf).tokenizer)
     blocks = corpus.corpus_blocks(examples, text_files.text_order(examples), SEQ_LEN, BLOCKS_PER_SHARD)
     return blocks.select(
         "split", "block_id", "shard_id", "local_index", idf.fingerprint(F.col("tokens")).alias("tokens")
@@ -199,8 +206,9 @@ def symbol_pairs(spark, sf):
 
 
 def bpe_merges(spark, sf):
-    trained = _tokenizer(_lines(spark, sf), MERGES)
-    return bpe.merges_table(spark, trained.merges)
+    """Learned anew, whatever is stored."""
+    lines = corpus.training_lines(_lines(spark, sf))
+    return bpe.merges_table(spark, corpus.train_tokenizer(lines, vocab_size=VOCAB_SIZE).merges)
 
 
 def character_coverage(spark, sf):
@@ -209,11 +217,11 @@ def character_coverage(spark, sf):
 
 
 def vocabulary_characters(spark, sf):
-    return _tokenizer(_lines(spark, sf)).vocab
+    return _characters(_lines(spark, sf)).vocab
 
 
 def vocabulary_merges(spark, sf):
-    return _tokenizer(_lines(spark, sf), MERGES).vocab
+    return _tokenizer(spark, sf).vocab
 
 
 def _encoded_report(encoded):
@@ -224,23 +232,23 @@ def _encoded_report(encoded):
 
 def encode_characters(spark, sf):
     lines = _lines(spark, sf)
-    return _encoded_report(codec.encode_lines(lines, _tokenizer(lines).tokenizer))
+    return _encoded_report(codec.encode_lines(lines, _characters(lines).tokenizer))
 
 
 def encode_merges(spark, sf):
     lines = _lines(spark, sf)
-    return _encoded_report(codec.encode_lines(lines, _tokenizer(lines, ENCODE_MERGES).tokenizer))
+    return _encoded_report(codec.encode_lines(lines, _tokenizer(spark, sf).tokenizer))
 
 
 def encode_byte_fallback(spark, sf):
     lines = _lines(spark, sf)
-    trained = _tokenizer(lines, coverage=COVERAGE)
+    trained = _characters(lines, COVERAGE)
     return _encoded_report(codec.encode_lines(lines, trained.tokenizer))
 
 
 def decode_lines(spark, sf):
     lines = _lines(spark, sf)
-    trained = _tokenizer(lines, coverage=COVERAGE)
+    trained = _tokenizer(spark, sf)
     encoded = packing.wrap_examples(codec.encode_lines(lines, trained.tokenizer))
     return codec.decode_ids(encoded, trained.vocab).select("doc_id", "line_no", "text")
 
@@ -254,12 +262,12 @@ def decode_blocks(spark, sf):
 def piece_lookup(spark, sf):
     lines = _lines(spark, sf)
     words = bpe.word_counts(lines).select(F.col("word").alias("piece"))
-    vocab = _tokenizer(lines, ENCODE_MERGES).vocab
+    vocab = _tokenizer(spark, sf).vocab
     return codec.piece_ids(words, vocab)
 
 
 def id_lookup(spark, sf):
-    vocab = _tokenizer(_lines(spark, sf)).vocab
+    vocab = _tokenizer(spark, sf).vocab
     rows = spark.read.parquet(f"{sf}/events.parquet").select(
         "event_id", F.col("event_id").cast("int").alias("token_id")
     )
@@ -268,7 +276,7 @@ def id_lookup(spark, sf):
 
 def roundtrip_audit(spark, sf):
     lines = _lines(spark, sf)
-    trained = _tokenizer(lines, ENCODE_MERGES)
+    trained = _tokenizer(spark, sf)
     encoded = lines.withColumn("ids", codec.encoder(trained.tokenizer)(F.col("line")))
     decoded = codec.decode_ids(encoded, trained.vocab)
     same = F.trim("line") == F.trim("text")
@@ -296,9 +304,13 @@ def unigram_roundtrip(spark, sf):
 
 def tokenizer_metadata(spark, sf):
     # The order in which reserved tokens are listed does not change their ids.
-    trained = _tokenizer(_lines(spark, sf), ENCODE_MERGES, special_tokens="[EOS],UNK,[BOS],[PAD],[EOS]")
+    trained = _tokenizer(spark, sf)
+    specials = bpe.special_tokens("[EOS],UNK,[BOS],[PAD],[EOS]")
+    learned = trained.vocab.where("kind IN ('merge', 'char')").orderBy("token_id").select("piece", "kind", "freq").collect()
     prefix = scratch_path(spark, "tokenizer")
-    artifacts.write_tokenizer(trained.vocab, trained.merges, prefix)
+    artifacts.write_tokenizer(
+        bpe.vocabulary_table(spark, [tuple(r) for r in learned], specials), trained.merges, prefix
+    )
     found = artifacts.special_ids(spark, f"{prefix}.meta.json")
     stored = artifacts.read_vocabulary(spark, prefix)
     return stored.agg(
@@ -311,19 +323,19 @@ def tokenizer_metadata(spark, sf):
 
 # Packing and shards
 
-def _token_yield(spark, sf, merges):
+def _token_yield(lines, trained):
     # Lengths are read once, so the encoded examples need not be stored.
-    lines = _lines(spark, sf)
-    encoded = codec.encode_lines(lines, _tokenizer(lines, merges).tokenizer)
+    encoded = codec.encode_lines(lines, trained.tokenizer)
     return packing.packing_totals(packing.wrap_examples(encoded), SEQ_LEN)
 
 
 def split_token_yield(spark, sf):
-    return _token_yield(spark, sf, 0)
+    lines = _lines(spark, sf)
+    return _token_yield(lines, _characters(lines))
 
 
 def merged_token_yield(spark, sf):
-    return _token_yield(spark, sf, ENCODE_MERGES)
+    return _token_yield(_lines(spark, sf), _tokenizer(spark, sf))
 
 
 def packed_blocks(spark, sf):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corpusblocks.operators import bpe, codec, packing, unigram
 from corpusblocks.operators.prefix import Order
 from corpusblocks.session import materialize
+from corpusblocks.sources import artifacts
 from corpusblocks.sources import documents as docs_src
 
 
@@ -61,7 +62,7 @@ def train_tokenizer(
                 f"vocab_size {vocab_size} is too small: {bpe.FIRST_LEARNED_ID} reserved and byte "
                 f"pieces and {len(alphabet)} characters are needed"
             )
-        learned = _fill(words, room, uncovered)
+        learned = bpe.learn_merges(words, uncovered=uncovered, pieces=room)
     else:
         learned = bpe.learn_merges(words, merges, uncovered) if merges else []
     vocab = bpe.vocabulary(spark, alphabet, learned, specials)
@@ -69,17 +70,18 @@ def train_tokenizer(
     return TrainedTokenizer(learned, vocab, size, codec.Tokenizer.of(learned, vocab))
 
 
-def _fill(words: DataFrame, room: int, uncovered: list[str] | None) -> list[tuple[str, str, int]]:
-    # A merge may rebuild an existing piece, so the list can need to be longer
-    # than the number of new pieces.
-    wanted = room
-    while wanted:
-        learned = bpe.learn_merges(words, wanted, uncovered)
-        short = room - len(bpe.merged_pieces(learned))
-        if short <= 0 or len(learned) < wanted:
-            return learned
-        wanted += short
-    return []
+def stored_tokenizer(lines: DataFrame, prefix: str, **options) -> TrainedTokenizer:
+    """The tokenizer kept under ``prefix``, learned from ``lines`` and written there if there is none yet."""
+    spark = lines.sparkSession
+    meta = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{prefix}.meta.json/_SUCCESS")
+    if not meta.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(meta):
+        trained = train_tokenizer(lines, **options)
+        scores = getattr(trained.tokenizer, "scores", None)
+        artifacts.write_tokenizer(trained.vocab, trained.merges, prefix, scores)
+    tokenizer = artifacts.load_tokenizer(spark, prefix)
+    merges = artifacts.read_merges(spark, prefix) if isinstance(tokenizer, codec.Tokenizer) else []
+    size = artifacts.special_ids(spark, f"{prefix}.meta.json")["vocab_size"]
+    return TrainedTokenizer(merges, artifacts.read_vocabulary(spark, prefix), size, tokenizer)
 
 
 def split_lines(docs: DataFrame, seed: int = 42) -> DataFrame:

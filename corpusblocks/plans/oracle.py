@@ -27,10 +27,16 @@ lines AS MATERIALIZED (
           regexp_replace(raw, '^[{_SPACE}]+|[{_SPACE}]+$', '', 'g') AS line FROM raw_lines)
   WHERE line <> '')"""
 
-_WORDS = f"""
+
+
+def _words(prompts: bool = False) -> str:
+    """Distinct words with their frequency in the training split; words of prompts take no part in training."""
+    asked = f"""
+  UNION ALL SELECT '{_MARK}' || w, 'prompt' FROM (SELECT unnest(string_split(text, ' ')) AS w FROM conversations) WHERE w <> ''"""
+    return f"""
 occurrences AS (
   SELECT '{_MARK}' || w AS word, split FROM (SELECT split, unnest(string_split(line, ' ')) AS w FROM lines)
-  WHERE w <> ''),
+  WHERE w <> ''{asked if prompts else ''}),
 words AS MATERIALIZED (
   SELECT word, CAST(count(*) FILTER (split = 'train') AS BIGINT) AS freq FROM occurrences GROUP BY word),
 chars AS MATERIALIZED (
@@ -38,6 +44,9 @@ chars AS MATERIALIZED (
   FROM (SELECT unnest(regexp_extract_all(word, '(?s).')) AS ch, freq FROM words WHERE freq > 0) GROUP BY ch)"""
 
 
+_WORDS = _words()
+
+
 def _alphabet(coverage: float) -> str:
     return f"""
 ranked AS (
@@ -55,24 +64,34 @@ def _pairs(table: str) -> str:
     WHERE len(a) > 1) GROUP BY l, r"""
 
 
-def _chain(merges: int) -> str:
-    """One pair count and one replacement per merge."""
-    parts = ["""
+def _chain(size: int = 0) -> str:
+    """All merges that fit a vocabulary of ``size`` beside alphabet, bytes and reserved tokens, one a step.
+
+    Each step counts the pairs of all words again and merges the best one. No string is
+    taken to be spelled by two merges, as none is in the given tables.
+    """
+    start = """
 w0 AS MATERIALIZED (
   SELECT word, freq, array_to_string(
-    list_transform(regexp_extract_all(word, '(?s).'), lambda x: ' ' || x || ' '), '') AS s FROM words)"""]
-    for i in range(merges):
-        parts.append(f"""
-p{i} AS MATERIALIZED ({_pairs(f'w{i}')} ORDER BY freq DESC, l, r LIMIT 1),
-w{i + 1} AS MATERIALIZED (
-  SELECT word, w.freq, replace(s, ' ' || l || '  ' || r || ' ', ' ' || l || r || ' ') AS s
-  FROM w{i} w, p{i})""")
-    rows = " UNION ALL ".join(f"SELECT {i} AS rank, l, r, freq FROM p{i}" for i in range(merges))
-    empty = "SELECT 0 AS rank, '' AS l, '' AS r, 0::BIGINT AS freq WHERE false"
-    parts.append(f"""
-merges AS MATERIALIZED ({rows or empty}),
-segmented AS (SELECT word, s FROM w{merges})""")
-    return ",".join(parts)
+    list_transform(regexp_extract_all(word, '(?s).'), lambda x: ' ' || x || ' '), '') AS s FROM words)"""
+    if not size:
+        return start + """,
+merges AS MATERIALIZED (SELECT 0 AS rank, '' AS l, '' AS r, 0::BIGINT AS freq WHERE false),
+segmented AS (SELECT word, s FROM w0)"""
+    return start + f""",
+step AS (
+  SELECT 0 AS i, word, freq, s, NULL::VARCHAR AS l, NULL::VARCHAR AS r, 0::BIGINT AS f FROM w0
+  UNION ALL
+  (WITH best AS ({_pairs("(SELECT s, freq FROM step WHERE word IS NOT NULL AND contains(s, '  '))")}
+      ORDER BY freq DESC, l, r LIMIT 1),
+    here AS (SELECT max(i) AS i FROM step WHERE word IS NOT NULL)
+   SELECT i + 1, word, step.freq, replace(s, ' ' || best.l || '  ' || best.r || ' ', ' ' || best.l || best.r || ' '), NULL, NULL, 0
+   FROM step, best WHERE i < {size} - 260 - (SELECT count(*) FROM alphabet) AND word IS NOT NULL AND contains(s, '  ')
+   UNION ALL
+   SELECT i, NULL, NULL, NULL, l, r, freq FROM best, here WHERE i < {size} - 260 - (SELECT count(*) FROM alphabet))),
+merges AS MATERIALIZED (
+  SELECT CAST(i AS INT) AS rank, l, r, f AS freq FROM step WHERE word IS NULL),
+segmented AS (SELECT word, arg_max(s, i) AS s FROM step WHERE word IS NOT NULL GROUP BY word)"""
 
 
 _VOCAB = """
@@ -194,18 +213,12 @@ _FULL_FILTER = _filters(
 
 _PROMPTS = f"""
 prompt_words AS (
-  SELECT conv_id, turn, array_to_string(list_transform(list_filter(string_split(text, ' '), lambda w: w <> ''),
-    lambda w: '{_MARK}' || w), '') AS marked FROM conversations),
-prompt_chars AS (
-  SELECT conv_id, turn, unnest(a) AS ch, unnest(range(len(a))) AS pos
-  FROM (SELECT conv_id, turn, regexp_extract_all(marked, '(?s).') AS a FROM prompt_words)),
-prompt_ids AS (
-  SELECT ch, coalesce(CASE WHEN token_id IS NULL THEN NULL ELSE [token_id] END, {_BYTES.format('ch')}) AS ids
-  FROM (SELECT DISTINCT ch FROM prompt_chars) LEFT JOIN
-    (SELECT piece, token_id FROM vocab WHERE kind = 'char') ON piece = ch),
+  SELECT conv_id, turn, '{_MARK}' || w AS word, ord
+  FROM (SELECT conv_id, turn, unnest(a) AS w, unnest(range(len(a))) AS ord
+        FROM (SELECT conv_id, turn, string_split(text, ' ') AS a FROM conversations)) WHERE w <> ''),
 prompts AS MATERIALIZED (
-  SELECT conv_id, turn, list_concat([2], coalesce(flatten(list(ids ORDER BY pos) FILTER (ids IS NOT NULL)), [])) AS ids
-  FROM conversations LEFT JOIN prompt_chars USING (conv_id, turn) LEFT JOIN prompt_ids USING (ch) GROUP BY conv_id, turn)"""
+  SELECT conv_id, turn, list_concat([2], coalesce(flatten(list(ids ORDER BY ord) FILTER (ids IS NOT NULL)), [])) AS ids
+  FROM conversations LEFT JOIN prompt_words USING (conv_id, turn) LEFT JOIN word_ids USING (word) GROUP BY conv_id, turn)"""
 
 _DENSE = f"""
 dense AS MATERIALIZED (
@@ -266,19 +279,21 @@ records AS (
 
 
 def _with(select: str, *ctes: str) -> str:
-    return "WITH " + ",".join(ctes) + "\n" + select
+    return "WITH RECURSIVE " + ",".join(ctes) + "\n" + select
 
 
 def _fp(ids: str) -> str:
     return f"md5(array_to_string({ids}, ','))"
 
 
-def _trained(merges: int, coverage: float = 1.0) -> list[str]:
-    return [_LINES, _WORDS, _alphabet(coverage), _chain(merges), _VOCAB]
+def _trained(size: int = c.VOCAB_SIZE, coverage: float = 1.0, prompts: bool = False) -> list[str]:
+    return [_LINES, _words(prompts), _alphabet(coverage), _chain(size), _VOCAB]
 
 
-_CODED = [*_trained(0), _ENCODE]
+_CODED = [*_trained(), _ENCODE]
+_CHARACTERS = [*_trained(0), _ENCODE]
 _PACKED = [*_CODED, _BLOCKS]
+_ASKED = [*_trained(prompts=True), _ENCODE]
 _ENCODED_REPORT = f"SELECT doc_id, line_no, CAST(len(ids) AS INT) AS n_ids, {_fp('ids')} AS ids FROM encoded"
 _YIELD = f"""SELECT split, count(*) AS examples, CAST(sum(len(ids)) AS BIGINT) AS tokens,
   CAST(sum(len(ids)) AS BIGINT) // {c.SEQ_LEN} AS blocks, CAST(sum(len(ids)) AS BIGINT) % {c.SEQ_LEN} AS dropped_tokens
@@ -298,7 +313,7 @@ def oracle_sql() -> dict[str, str]:
             "CAST(len(list_filter(ids, lambda x: x NOT IN (0, 2, 3))) AS INT) AS n_text_ids FROM examples", *_CODED),
         "prompt_contexts": _with(f"""
 SELECT conv_id, turn, CAST(len(ids) AS INT) AS n_ids, CAST(least(len(ids), {c.CONTEXT}) AS INT) AS n_context,
-  {_fp(f'ids[greatest(len(ids) - {c.CONTEXT} + 1, 1):]')} AS context FROM prompts""", *_trained(0), _PROMPTS),
+  {_fp(f'ids[greatest(len(ids) - {c.CONTEXT} + 1, 1):]')} AS context FROM prompts""", *_ASKED, _PROMPTS),
         "training_pairs": _with(
             f"SELECT split, block_id, {c.SEQ_LEN - 1} AS n, {_fp('tokens[1:len(tokens) - 1]')} AS inputs, "
             f"{_fp('tokens[2:]')} AS targets FROM blocks", *_PACKED),
@@ -317,13 +332,13 @@ SELECT conv_id, turn, CAST(len(ids) AS INT) AS n_ids, CAST(least(len(ids), {c.CO
         "symbol_pairs": _with(
             f'SELECT l AS "left", r AS "right", freq FROM ({_pairs("w0")})', _LINES, _WORDS, _chain(0)),
         "bpe_merges": _with(
-            'SELECT rank, l AS "left", r AS "right", freq FROM merges', _LINES, _WORDS, _chain(c.MERGES)),
+            'SELECT rank, l AS "left", r AS "right", freq FROM merges', *_trained()[:-1]),
         "character_coverage": _with(
             "SELECT ch, freq, position FROM alphabet", _LINES, _WORDS, _alphabet(c.COVERAGE)),
         "vocabulary_characters": _with("SELECT * FROM vocab", *_trained(0)),
-        "vocabulary_merges": _with("SELECT * FROM vocab", *_trained(c.MERGES)),
-        "encode_characters": _with(_ENCODED_REPORT, *_CODED),
-        "encode_merges": _with(_ENCODED_REPORT, *_trained(c.ENCODE_MERGES), _ENCODE),
+        "vocabulary_merges": _with("SELECT * FROM vocab", *_trained()),
+        "encode_characters": _with(_ENCODED_REPORT, *_CHARACTERS),
+        "encode_merges": _with(_ENCODED_REPORT, *_CODED),
         "encode_byte_fallback": _with(_ENCODED_REPORT, *_trained(0, c.COVERAGE), _ENCODE),
         "decode_lines": _with(
             f"SELECT doc_id, line_no, replace({_SINGLE_SPACED}, '{_MARK}', ' ') AS text FROM lines", _LINES),
@@ -335,19 +350,19 @@ SELECT split, block_id, md5(regexp_replace(array_to_string(list_transform(
 FROM blocks, (SELECT list(replace(piece, '{_MARK}', ' ') ORDER BY token_id) AS surface FROM vocab)""", *_PACKED),
         "piece_lookup": _with(
             "SELECT word AS piece, coalesce(token_id, 1) AS token_id FROM words LEFT JOIN vocab ON piece = word",
-            *_trained(c.ENCODE_MERGES)),
+            *_trained()),
         "id_lookup": _with(
             "SELECT event_id, CAST(event_id AS INT) AS token_id, piece FROM events LEFT JOIN vocab ON token_id = event_id",
-            *_trained(0)),
+            *_trained()),
         "roundtrip_audit": _with(
             f"SELECT split, count(*) AS lines, count(*) FILTER (line <> replace({_SINGLE_SPACED}, '{_MARK}', ' ')) AS differing "
             "FROM lines GROUP BY split", _LINES),
         "tokenizer_metadata": _with(
             "SELECT " + ", ".join(f"CAST({i} AS INT) AS {t[1:-1].lower()}_id" for t, i in _SPECIAL.items())
             + ", CAST((SELECT count(*) FROM vocab) AS INT) AS vocab_size, (SELECT count(*) FROM vocab) AS stored_pieces, "
-            f"CAST((SELECT count(*) FROM merges) AS INT) AS stored_merges", *_trained(c.ENCODE_MERGES)),
-        "split_token_yield": _with(_YIELD, *_CODED),
-        "merged_token_yield": _with(_YIELD, *_trained(c.ENCODE_MERGES), _ENCODE),
+            f"CAST((SELECT count(*) FROM merges) AS INT) AS stored_merges", *_trained()),
+        "split_token_yield": _with(_YIELD, *_CHARACTERS),
+        "merged_token_yield": _with(_YIELD, *_CODED),
         "packed_blocks": _with(
             f"SELECT split, block_id, shard_id, local_index, {_fp('tokens')} AS tokens FROM blocks", *_PACKED),
         "shard_sink": _with(
@@ -428,10 +443,10 @@ SELECT conv_id, turn, array_to_string(gen, ',') AS generated,
   regexp_replace(replace(array_to_string(list_transform(list_filter(gen, lambda x: x NOT IN (0, 2, 3)),
     lambda x: surface[x + 1]), ''), '{_MARK}', ' '), '^ ', '') AS text
 FROM s{c.NEW_TOKENS}, (SELECT list(piece ORDER BY token_id) AS surface FROM vocab)""",
-            *_PACKED, _model("blocks", "tokens", "split"), _PROMPTS, _DENSE, _greedy_rounds(c.NEW_TOKENS)),
+            *_ASKED, _BLOCKS, _model("blocks", "tokens", "split"), _PROMPTS, _DENSE, _greedy_rounds(c.NEW_TOKENS)),
         "sampled_continuation": _with(
             f"SELECT conv_id, turn, array_to_string(gen, ',') AS generated FROM s{c.SAMPLED_TOKENS}",
-            *_PACKED, _model("blocks", "tokens", "split"), _PROMPTS, _DENSE, _sampled_rounds(c.SAMPLED_TOKENS, c.TOP_P)),
+            *_ASKED, _BLOCKS, _model("blocks", "tokens", "split"), _PROMPTS, _DENSE, _sampled_rounds(c.SAMPLED_TOKENS, c.TOP_P)),
         "greedy_choice": _with(
             "SELECT ctx_id, token_id FROM scores QUALIFY row_number() OVER (PARTITION BY ctx_id ORDER BY logit DESC, token_id) = 1",
             _SCORES),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 1_000_000
 SALTS = 16
 
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder shared by driver and executors: ``spark.checkpoint.dir``, else the warehouse.
 
@@ -32,10 +34,24 @@ def _application_folder(spark: SparkSession) -> str:
     return f"{scratch_root(spark)}/corpusblocks-{spark.sparkContext.applicationId}"
 
 
-def release(spark: SparkSession) -> None:
-    """Delete what this application has written to the scratch folder; results read from it end, too."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def release(spark: SparkSession, kept: bool = False) -> None:
+    """Delete what this application has written to the scratch folder; results read from it end, too.
+
+    With ``kept``, also what ``kept_path`` holds.
+    """
+    for folder in [_application_folder(spark), *([f"{_application_folder(spark)}-kept"] if kept else [])]:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def kept_path(spark: SparkSession, source: DataFrame, name: str) -> str:
+    """A path for what is made of the files of ``source`` once and used by many jobs of this application.
+
+    Files that are written again lie under another path: names and times of the files are part of it.
+    """
+    files = source.select("_metadata.file_path", "_metadata.file_modification_time").distinct().collect()
+    key = hashlib.md5(repr(sorted(map(tuple, files))).encode()).hexdigest()
+    return f"{_application_folder(spark)}-kept/{key}/{name}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -63,15 +79,15 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to shared storage and read it back.
+def materialize(df: DataFrame, name: str, by: list[str] | tuple = ()) -> DataFrame:
+    """Write ``df`` once to shared storage, in folders ``by`` some columns, and read it back.
 
     Unlike a cache the result survives the loss of executors, and unlike
     ``checkpoint`` it is computed once and stays columnar, so later readers
     prune columns and push filters down.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -92,6 +92,32 @@ def test_spark_learner_equals_sequential(spark):
     assert bpe.learn_merges(table, 60) == one_at_a_time(words, 60)
 
 
+@pytest.mark.parametrize("top", [1, 4, 30])
+def test_few_counts_kept_are_enough(spark, top):
+    """Pairs left out are counted again when the kept ones no longer tell which is best."""
+    rng = random.Random(top)
+    words = {"▁" + "".join(rng.choice("abcab\"\\'é") for _ in range(rng.randint(1, 7))): rng.randint(1, 5) for _ in range(80)}
+    table = spark.createDataFrame(list(words.items()), "word string, freq long")
+    assert bpe.learn_merges(table, 25, top_pairs=top) == one_at_a_time(words, 25)
+
+
+def test_until_so_many_pieces(spark):
+    """Strings that two merges spell count once."""
+    words = {"▁abc": 9, "▁bc": 8, "▁ab": 30, "▁aabc": 7, "cabcab": 5, "bcabc": 6}
+    table = spark.createDataFrame(list(words.items()), "word string, freq long")
+    merges = bpe.learn_merges(table, pieces=9)
+    assert merges == one_at_a_time(words, len(merges)) and len(bpe.merged_pieces(merges)) == 9
+
+
+def test_index_with_several_shelves(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "SHELF_ROWS", 40)
+    monkeypatch.setattr(bpe, "MERGES_PER_CUT", 10)
+    rng = random.Random(3)
+    words = {"▁" + "".join(rng.choice("abcde") for _ in range(rng.randint(2, 8))): rng.randint(1, 50) for _ in range(60)}
+    table = spark.createDataFrame(list(words.items()), "word string, freq long")
+    assert bpe.learn_merges(table, 30) == one_at_a_time(words, 30)
+
+
 def test_learning_stops_when_pairs_run_out(spark):
     words = spark.createDataFrame([("ab", 2)], "word string, freq long")
     assert bpe.learn_merges(words, 10) == [("a", "b", 2)]
