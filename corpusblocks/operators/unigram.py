@@ -1,9 +1,11 @@
 """Unigram vocabulary: pieces with probabilities, fitted by expectation maximisation.
 
-As with merges, all work runs on the table of distinct words. Spark counts the
-candidate pieces and sums the expected counts; a task walks the segmentations of
-its words and emits one row per piece. The piece table is bounded by
-``seed_size`` and travels inside the task.
+As with merges, all work runs on the table of distinct words. Words become lattices: one
+row per word, with the pieces that end at each of its places. Forward and backward sums
+walk the lattice inside the row, expected counts are summed by piece, and the table of
+pieces, from all repeated substrings down to the vocabulary, stays a table throughout.
+Nothing is cut but by the rules of fitting; the driver sees sizes and totals only, and the
+finished vocabulary.
 """
 
 from __future__ import annotations
@@ -11,19 +13,16 @@ from __future__ import annotations
 import math
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusblocks.functions.ids import FIRST_BYTE_ID
 from corpusblocks.operators.bpe import covered_alphabet
-from corpusblocks.session import materialize, task_count
+from corpusblocks.session import BROADCAST_ROWS, join_lookup, materialize, task_count
 
 MAX_PIECE = 16
-SEED_SIZE = 100_000
 SUB_ITERATIONS = 2
 SHRINK = 0.75
 # Pieces expected less often than this are dropped; characters stay.
@@ -32,8 +31,8 @@ MIN_EXPECTED = 0.5
 UNKNOWN_PENALTY = 10.0
 
 
-def seed_pieces(words: DataFrame, limit: int = SEED_SIZE, max_length: int = MAX_PIECE) -> DataFrame:
-    """``(piece, freq)``: repeated substrings of two characters and more, best by freq × length."""
+def seed_pieces(words: DataFrame, limit: int | None = None, max_length: int = MAX_PIECE) -> DataFrame:
+    """``(piece, freq)``: repeated substrings of two characters and more; the best by freq × length under a limit."""
     n = F.length("word")
     starts = F.sequence(F.lit(1), n - 1)
     pieces = F.flatten(F.transform(starts, lambda i: F.transform(
@@ -44,6 +43,8 @@ def seed_pieces(words: DataFrame, limit: int = SEED_SIZE, max_length: int = MAX_
         words.where(n > 1).select(F.explode(pieces).alias("piece"), "freq")
         .groupBy("piece").agg(F.sum("freq").alias("freq")).where(F.col("freq") > 1)
     )
+    if limit is None:
+        return counted
     return counted.orderBy(F.desc(F.col("freq") * F.length("piece")), "piece").limit(limit)
 
 
@@ -101,80 +102,165 @@ def best_pieces(word: str, scores: dict[str, float], unknown: float, without: st
     return pieces[::-1], best[-1]
 
 
-def expected_counts(words: DataFrame, scores: dict[str, float]) -> DataFrame:
-    """``(piece, expected)`` summed over all words: one pass, partial sums per task."""
-    def e_step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unknown, sums = _unknown_score(scores), defaultdict(float)
-        for batch in batches:
-            for word, freq in zip(batch["word"].to_pylist(), batch["freq"].to_pylist()):
-                for piece, n in word_expectations(word, scores, unknown)[0].items():
-                    if piece in scores:
-                        sums[piece] += freq * n
-        yield pa.RecordBatch.from_pydict({
-            "piece": pa.array(sums.keys(), pa.string()), "expected": pa.array(sums.values(), pa.float64())
-        })
-
-    partial = words.select("word", "freq").mapInArrow(e_step, "piece string, expected double")
-    return partial.groupBy("piece").agg(F.sum("expected").alias("expected"))
-
-
-def _fit(words: DataFrame, scores: dict[str, float]) -> tuple[dict[str, float], dict[str, float]]:
-    """One expectation and maximisation step: new scores and the counts behind them."""
-    # One row per piece: bounded by the seed size.
-    expected = {r["piece"]: round(r["expected"], 6) for r in expected_counts(words, scores).collect()}
-    kept = {}
-    for piece in scores:
-        n = expected.get(piece, 0.0)
-        if n >= MIN_EXPECTED or len(piece) == 1:
-            kept[piece] = max(n, MIN_EXPECTED)
-    total = math.log(sum(kept.values()))
-    return {piece: math.log(n) - total for piece, n in kept.items()}, kept
-
-
-def _prune(words: DataFrame, scores: dict[str, float], counts: dict[str, float], size: int) -> dict[str, float]:
-    """Keep the characters and the pieces that cost most likelihood to lose."""
-    spark = words.sparkSession
-    unknown = _unknown_score(scores)
-
-    @F.arrow_udf("double")
-    def replaced(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([best_pieces(p, scores, unknown, without=p)[1] for p in batch.to_pylist()], pa.float64())
-
-    long = [p for p in scores if len(p) > 1]
-    table = spark.createDataFrame(pa.table({
-        "piece": pa.array(long, pa.string()),
-        "score": pa.array([scores[p] for p in long], pa.float64()),
-        "n": pa.array([counts[p] for p in long], pa.float64()),
-    })).repartition(task_count(spark))
-    loss = F.col("n") * (F.col("score") - replaced("piece"))
-    room = max(0, size - (len(scores) - len(long)))
-    best = table.select("piece", F.round(loss, 6).alias("loss")).orderBy(F.desc("loss"), "piece").limit(room)
-    kept = {r["piece"] for r in best.collect()}
-    return {p: s for p, s in scores.items() if len(p) == 1 or p in kept}
+def lattice_arcs(words: DataFrame, pieces: DataFrame, whole: bool = True) -> DataFrame:
+    """``(word, freq, start, end, piece)``: pieces inside every word; every character is one.
+
+    Without ``whole`` a word is no arc of its own lattice, unless it is a single character.
+    """
+    spans = """flatten(transform(sequence(0, length(word) - 1), i -> transform(
+      sequence(1, least({0}, length(word) - i)), n -> struct(i AS start, i + n AS end, substr(word, i + 1, n) AS piece))))"""
+    spread = words.where(F.length("word") > 0).selectExpr("word", "freq", f"inline({spans.format(MAX_PIECE)})")
+    if not whole:
+        spread = spread.where("end - start < length(word) OR length(word) = 1")
+    long = spread.where("end - start > 1").join(pieces.select("piece"), "piece", "left_semi")
+    return long.select(*spread.columns).unionByName(spread.where("end - start = 1"))
+
+
+def lattices(arcs: DataFrame, scores: DataFrame, unknown: float, few: bool = False) -> DataFrame:
+    """``(word, freq, ends)``: one row per word, with the scored arcs that end at each place.
+
+    Characters without a score have the unknown one. ``few`` says that the scores are known
+    to be few enough for a broadcast.
+    """
+    # Characters are few and in every word: apart from the rest they cannot crowd a task.
+    singles, longs = (scores.where(c).select("piece", "score") for c in ("length(piece) = 1", "length(piece) > 1"))
+    scored = join_lookup(arcs.where("end - start > 1"), longs, ["piece"], bounded=few).select(*arcs.columns, "score")
+    # One row per character: bounded by Unicode.
+    single = join_lookup(arcs.where("end - start = 1"), singles, ["piece"], "left", bounded=True)
+    scored = scored.unionByName(single.select(*arcs.columns, F.coalesce("score", F.lit(unknown)).alias("score")))
+    # One exchange by word serves both groupings.
+    by_end = scored.repartition("word").groupBy("word", "freq", "end").agg(
+        F.sort_array(F.collect_list(F.struct("start", "piece", "score"))).alias("arcs")
+    )
+    return by_end.groupBy("word", "freq").agg(F.sort_array(F.collect_list(F.struct("end", "arcs"))).alias("ends"))
+
+
+_LOG_SUM = "transform(array({0}), v -> array_max(v) + ln(aggregate(v, 0D, (t, x) -> t + exp(x - array_max(v)))))[0]"
+
+
+def _forward(combine: str) -> str:
+    """SQL of an array over the places of a lattice: what ``combine`` makes of all ways from the start to a place."""
+    into = combine.format("transform(e.arcs, x -> f[x.start] + x.score)")
+    return f"aggregate(ends, array(0D), (f, e) -> concat(f, array({into})))"
+
+
+@dataclass(frozen=True)
+class Pieces:
+    """A written table ``(piece, n)`` of expected counts, and what one look at it says."""
+
+    counts: DataFrame
+    total: float
+    least: float
+    size: int
+    chars: int
+
+    @staticmethod
+    def of(counts: DataFrame) -> "Pieces":
+        counts = materialize(counts.select("piece", F.col("n").cast("double").alias("n")), "pieces")
+        found = counts.agg(
+            F.sum("n"), F.min("n"), F.count("*"), F.count_if(F.length("piece") == 1)
+        ).first()
+        return Pieces(counts, found[0] or 1.0, found[1] or 1.0, found[2], found[3])
+
+    @property
+    def scores(self) -> DataFrame:
+        """``(piece, n, score)``: log-probabilities."""
+        return self.counts.select("piece", "n", (F.log("n") - math.log(self.total)).alias("score"))
+
+    @property
+    def unknown(self) -> float:
+        return math.log(self.least) - math.log(self.total) - UNKNOWN_PENALTY
+
+    @property
+    def few(self) -> bool:
+        return self.size <= BROADCAST_ROWS
+
+
+def expected_counts(
+    words: DataFrame, scores: DataFrame, arcs: DataFrame | None = None, unknown: float | None = None, few: bool = False
+) -> DataFrame:
+    """``(piece, expected)`` of ``scores(piece, score)`` over all segmentations of all words.
+
+    ``arcs`` of the words, the score of ``unknown`` characters and whether scores are ``few`` may be known already.
+    """
+    if unknown is None:
+        unknown = (scores.agg(F.min("score")).first()[0] or 0.0) - UNKNOWN_PENALTY
+    arcs = lattice_arcs(words, scores) if arcs is None else arcs
+    # The arcs that start at a place are found by turning the lattice over.
+    turned = """transform(sequence(0, size(ends) - 1), i -> flatten(transform(
+      slice(ends, i + 1, least({0}, size(ends) - i)), e -> transform(filter(e.arcs, x -> x.start = i),
+        x -> struct(e.end AS end, x.score AS score)))))""".format(MAX_PIECE)
+    backward = "aggregate(reverse(starts), array(0D), (b, s) -> concat(array({0}), b))".format(
+        _LOG_SUM.format("transform(s, x -> x.score + b[x.end - (size(ends) - size(b)) - 1])")
+    )
+    walked = lattices(arcs, scores, unknown, few).selectExpr("freq", "ends", f"{turned} AS starts", f"{_forward(_LOG_SUM)} AS f")
+    walked = walked.selectExpr("freq", "ends", "f", f"{backward} AS b")
+    shares = """flatten(transform(ends, e -> transform(e.arcs,
+      x -> struct(x.piece AS piece, freq * exp(f[x.start] + x.score + b[e.end] - f[size(ends)]) AS expected))))"""
+    summed = walked.selectExpr(f"inline({shares})").groupBy("piece").agg(F.sum("expected").alias("expected"))
+    return summed.join(scores.select("piece"), "piece", "left_semi")
+
+
+def _fitted(words: DataFrame, arcs: DataFrame, pieces: Pieces) -> Pieces:
+    """One expectation and maximisation step; pieces expected too rarely go, characters stay."""
+    expected = expected_counts(words, pieces.scores, arcs, pieces.unknown, pieces.few)
+    counts = pieces.counts.select("piece").join(expected, "piece", "left")
+    counts = counts.select("piece", F.round("expected", 6).alias("n"))
+    kept = counts.where((F.col("n") >= MIN_EXPECTED) | (F.length("piece") == 1))
+    return Pieces.of(kept.select("piece", F.greatest(F.coalesce("n", F.lit(0.0)), F.lit(MIN_EXPECTED)).alias("n")))
+
+
+def _pruned(pieces: Pieces, size: int) -> Pieces:
+    """The characters and the pieces whose loss would cost most likelihood, ``size`` in all."""
+    long = pieces.scores.where(F.length("piece") > 1).withColumnRenamed("piece", "word")
+    arcs = lattice_arcs(long.select("word", F.lit(1).alias("freq")), pieces.counts, whole=False)
+    best = lattices(arcs, pieces.scores, pieces.unknown, pieces.few)
+    best = best.selectExpr("word", f"{_forward('array_max({0})')}[size(ends)] AS best")
+    loss = F.round(F.col("n") * (F.col("score") - F.col("best")), 6).alias("loss")
+    ranked = long.join(best, "word").select(F.col("word").alias("piece"), "n", loss)
+    kept = ranked.orderBy(F.desc("loss"), "piece").limit(max(0, size - pieces.chars)).select("piece", "n")
+    return Pieces.of(pieces.counts.where(F.length("piece") == 1).unionByName(kept))
+
+
+def initial_pieces(words: DataFrame, coverage: float = 1.0, seed_size: int | None = None) -> Pieces:
+    """Covered characters and all repeated substrings of them, by frequency."""
+    chars = covered_alphabet(words, coverage).select(F.col("ch").alias("piece"), F.col("freq").alias("n"))
+    seeds = seed_pieces(words, seed_size).select("piece", F.col("freq").alias("n"))
+    if coverage < 1:
+        # A seed with an uncovered character could never be read as known text.
+        letters = seeds.select("piece", F.explode(F.array_distinct(F.split("piece", ""))).alias("ch"))
+        bad = letters.join(F.broadcast(chars.select(F.col("piece").alias("ch"))), "ch", "left_anti")
+        seeds = seeds.join(bad.select("piece").distinct(), "piece", "left_anti")
+    return Pieces.of(chars.unionByName(seeds))
 
 
 def learn_unigram(
-    words: DataFrame, size: int, coverage: float = 1.0, seed_size: int = SEED_SIZE
+    words: DataFrame, size: int, coverage: float = 1.0, seed_size: int | None = None
 ) -> list[tuple[str, float]]:
-    """``size`` pieces with log-probabilities, best first; all covered characters are among them."""
+    """``size`` pieces with log-probabilities, best first; all covered characters are among them.
+
+    Fitting starts from all repeated substrings (``seed_size`` of them, if given), drops a
+    quarter of the pieces between two fits, and ends in written tables, so a lost executor
+    costs one step. The pieces come to the driver when they are no more than the vocabulary.
+    """
     words = words.repartition(task_count(words.sparkSession), "word")
-    words = materialize(words, "words")
-    chars = {r["ch"]: r["freq"] for r in covered_alphabet(words, coverage).collect()}
-    if len(chars) > size:
-        raise ValueError(f"{size} pieces cannot hold {len(chars)} characters")
-    # A seed with an uncovered character could never be read as known text.
-    seeds = {r["piece"]: r["freq"] for r in seed_pieces(words, seed_size).collect()}
-    counts = chars | {p: n for p, n in seeds.items() if not set(p) - set(chars)}
-    total = math.log(sum(counts.values()) or 1)
-    scores = {p: math.log(n) - total for p, n in counts.items()}
-    while scores:
+    words = materialize(words.select("word", "freq"), "words")
+    pieces = initial_pieces(words, coverage, seed_size)
+    if pieces.chars > size:
+        raise ValueError(f"{size} pieces cannot hold {pieces.chars} characters")
+    arcs = materialize(lattice_arcs(words, pieces.counts), "arcs")
+    while True:
         for _ in range(SUB_ITERATIONS):
-            scores, fitted = _fit(words, scores)
-        if len(scores) <= size:
+            pieces = _fitted(words, arcs, pieces)
+        if pieces.size <= size:
             break
-        scores = _prune(words, scores, fitted, max(size, int(len(scores) * SHRINK)))
-    return sorted(((p, s) for p, s in scores.items()), key=lambda e: (-e[1], e[0]))
+        pieces = _pruned(pieces, max(size, int(pieces.size * SHRINK)))
+        # What is gone from the pieces is gone from the lattices.
+        stay = F.broadcast(pieces.counts.select("piece")) if pieces.few else pieces.counts.select("piece")
+        long = arcs.where("end - start > 1").join(stay, "piece", "left_semi").select(*arcs.columns)
+        arcs = materialize(long.unionByName(arcs.where("end - start = 1")), "arcs")
+    found = [(r["piece"], r["score"]) for r in pieces.scores.collect()]
+    return sorted(found, key=lambda e: (-e[1], e[0]))
 
 
 @dataclass(frozen=True)

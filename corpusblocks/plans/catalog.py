@@ -10,7 +10,7 @@ from corpusblocks.functions import vectors as vec
 from corpusblocks.functions.seeded import bucket, uniform
 from corpusblocks.operators import batches as bat
 from corpusblocks.operators import blocks as blk
-from corpusblocks.operators import bpe, codec, generation, likelihood, packing
+from corpusblocks.operators import bpe, codec, generation, likelihood, packing, unigram
 from corpusblocks.operators import runlog as log_ops
 from corpusblocks.plans import corpus
 from corpusblocks.session import kept_path, materialize, scratch_path, spread
@@ -24,7 +24,6 @@ SEQ_LEN = 256
 BLOCKS_PER_SHARD = 1024
 VOCAB_SIZE = 1024
 COVERAGE = 0.98
-UNIGRAM_SIZE, UNIGRAM_SEEDS = 1024, 2000
 EPOCH = 1
 MAX_BATCHES, EVAL_BATCHES = 50, 2
 CONTEXT = 64
@@ -285,19 +284,22 @@ def roundtrip_audit(spark, sf):
     )
 
 
-def _unigram(lines):
-    return corpus.train_tokenizer(
-        corpus.training_lines(lines), vocab_size=UNIGRAM_SIZE, model_type="unigram", seed_size=UNIGRAM_SEEDS
-    )
+def unigram_expected_counts(spark, sf):
+    """One expectation step over all words, from all repeated substrings."""
+    words = bpe.word_counts(corpus.training_lines(_lines(spark, sf)))
+    words = materialize(spread(words, "word"), "words")
+    pieces = unigram.initial_pieces(words)
+    expected = unigram.expected_counts(words, pieces.scores, unknown=pieces.unknown, few=pieces.few)
+    return expected.select("piece", F.round("expected", 3).alias("expected"))
 
 
 def unigram_vocabulary(spark, sf):
-    return _unigram(_lines(spark, sf)).vocab
+    return _tokenizer(spark, sf, model_type="unigram").vocab
 
 
 def unigram_roundtrip(spark, sf):
     lines = _lines(spark, sf)
-    trained = _unigram(lines)
+    trained = _tokenizer(spark, sf, model_type="unigram")
     encoded = codec.encode_lines(lines, trained.tokenizer)
     return codec.decode_ids(encoded, trained.vocab).select("doc_id", "line_no", "text")
 
@@ -639,7 +641,7 @@ QUERIES = {
         marker_free_blocks, word_frequencies, symbol_pairs, bpe_merges, character_coverage,
         vocabulary_characters, vocabulary_merges, encode_characters, encode_merges,
         encode_byte_fallback, decode_lines, decode_blocks, piece_lookup, id_lookup,
-        roundtrip_audit, unigram_vocabulary, unigram_roundtrip, tokenizer_metadata, split_token_yield, merged_token_yield,
+        roundtrip_audit, unigram_expected_counts, unigram_vocabulary, unigram_roundtrip, tokenizer_metadata, split_token_yield, merged_token_yield,
         packed_blocks, shard_sink, shard_manifest, split_manifest, shard_checks, shard_offsets,
         block_lookup, block_fetch, shuffled_order, batch_sizes, batch_plan, evaluation_batches,
         batch_contents, next_token_counts, next_token_model, loss_per_split, evaluation_loss, loss_per_document,

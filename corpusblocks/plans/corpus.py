@@ -29,13 +29,13 @@ def train_tokenizer(
     coverage: float = 1.0,
     special_tokens: str = "[PAD],[BOS],[EOS],[UNK]",
     model_type: str = "bpe",
-    seed_size: int = unigram.SEED_SIZE,
+    seed_size: int | None = None,
 ) -> TrainedTokenizer:
     """Learn a vocabulary from the ``line`` column of a training split.
 
     ``merges`` fixes the number of merges; otherwise as many are learned as fit
     ``vocab_size`` beside reserved tokens, byte pieces and alphabet. The
-    ``unigram`` model starts from ``seed_size`` candidate pieces instead.
+    ``unigram`` model starts from all repeated substrings instead, or from the best ``seed_size``.
     """
     specials = bpe.special_tokens(special_tokens)
     spark = lines.sparkSession

@@ -298,6 +298,38 @@ _ENCODED_REPORT = f"SELECT doc_id, line_no, CAST(len(ids) AS INT) AS n_ids, {_fp
 _YIELD = f"""SELECT split, count(*) AS examples, CAST(sum(len(ids)) AS BIGINT) AS tokens,
   CAST(sum(len(ids)) AS BIGINT) // {c.SEQ_LEN} AS blocks, CAST(sum(len(ids)) AS BIGINT) % {c.SEQ_LEN} AS dropped_tokens
 FROM examples GROUP BY split"""
+# Forward and backward sums as one row per word that grows by a place a step; every character is a piece.
+_LATTICE = """
+trained_words AS (SELECT word, freq, length(word) AS n FROM words WHERE freq > 0),
+spans AS MATERIALIZED (
+  SELECT word, i AS start, i + unnest(range(1, least(16, n - i) + 1)) AS stop
+  FROM (SELECT word, n, unnest(range(n)) AS i FROM trained_words)),
+counted AS (
+  SELECT substr(word, CAST(start + 1 AS BIGINT), CAST(stop - start AS BIGINT)) AS piece, sum(freq) AS n
+  FROM spans JOIN trained_words USING (word) GROUP BY 1 HAVING sum(freq) > 1 OR length(piece) = 1),
+priors AS MATERIALIZED (SELECT piece, n::DOUBLE / (SELECT sum(n) FROM counted) AS p FROM counted),
+arcs AS MATERIALIZED (
+  SELECT word, start, stop, piece, p FROM spans
+  JOIN priors ON piece = substr(word, CAST(start + 1 AS BIGINT), CAST(stop - start AS BIGINT))),
+into_place AS MATERIALIZED (SELECT word, stop AS at, list(start + 1) AS froms, list(p) AS ps FROM arcs GROUP BY ALL),
+out_of_place AS MATERIALIZED (
+  SELECT word, n - start AS at, list(n - stop + 1) AS froms, list(p) AS ps FROM arcs JOIN trained_words USING (word) GROUP BY ALL),
+ahead AS (
+  SELECT word, 0 AS at, [1::DOUBLE] AS f FROM trained_words
+  UNION ALL
+  SELECT word, p.at, list_append(f, list_sum(list_transform(froms, lambda x, i: f[x] * ps[i])))
+  FROM ahead a JOIN into_place p USING (word) WHERE p.at = a.at + 1),
+back AS (
+  SELECT word, 0 AS at, [1::DOUBLE] AS f FROM trained_words
+  UNION ALL
+  SELECT word, p.at, list_append(f, list_sum(list_transform(froms, lambda x, i: f[x] * ps[i])))
+  FROM back a JOIN out_of_place p USING (word) WHERE p.at = a.at + 1),
+sums AS (
+  SELECT word, freq, n, a.f AS f, b.f AS b FROM trained_words
+  JOIN ahead a USING (word) JOIN back b USING (word) WHERE a.at = n AND b.at = n),
+expectations AS (
+  SELECT piece, sum(freq * f[start + 1] * p * b[n - stop + 1] / f[n + 1]) AS expected
+  FROM arcs JOIN sums USING (word) GROUP BY piece)"""
 _SINGLE_SPACED = "regexp_replace(line, ' +', ' ', 'g')"
 _LOSS = "round(sum(nll * n) / sum(n), 6) AS loss, round(exp(sum(nll * n) / sum(n)), 4) AS perplexity, CAST(sum(n) AS BIGINT) AS tokens"
 _SPECIAL = {"[PAD]": 0, "[UNK]": 1, "[BOS]": 2, "[EOS]": 3}
@@ -342,6 +374,8 @@ SELECT conv_id, turn, CAST(len(ids) AS INT) AS n_ids, CAST(least(len(ids), {c.CO
         "encode_byte_fallback": _with(_ENCODED_REPORT, *_trained(0, c.COVERAGE), _ENCODE),
         "decode_lines": _with(
             f"SELECT doc_id, line_no, replace({_SINGLE_SPACED}, '{_MARK}', ' ') AS text FROM lines", _LINES),
+        "unigram_expected_counts": _with(
+            "SELECT piece, round(expected, 3) AS expected FROM expectations", _LINES, _WORDS, _LATTICE),
         "unigram_roundtrip": _with(
             f"SELECT doc_id, line_no, replace({_SINGLE_SPACED}, '{_MARK}', ' ') AS text FROM lines", _LINES),
         "decode_blocks": _with(f"""

@@ -87,12 +87,48 @@ def test_tokenizers_survive_writing_and_loading(spark, tmp_path):
 
 def test_expected_counts_do_not_depend_on_partitions(spark):
     words = spark.createDataFrame([("aab", 2), ("ab", 5), ("b", 1)], "word string, freq long")
-    scores = {"a": -1.0, "b": -1.5, "ab": -2.0, "aa": -3.0}
+    scores = spark.createDataFrame([("a", -1.0), ("b", -1.5), ("ab", -2.0), ("aa", -3.0)], "piece string, score double")
     one = {r[0]: r[1] for r in unigram.expected_counts(words.coalesce(1), scores).collect()}
     many = {r[0]: r[1] for r in unigram.expected_counts(words.repartition(3), scores).collect()}
     assert one.keys() == many.keys() and all(one[p] == pytest.approx(many[p]) for p in one)
 
 
+def test_lattices_equal_the_plain_walk(spark):
+    """Expected counts in the row against the walk of one word, with unknown characters and one long word."""
+    rng = random.Random(6)
+    words = {"".join(rng.choice("abcé") for _ in range(rng.randint(1, 20))): rng.randint(1, 9) for _ in range(120)}
+    words |= {"ab" * 400: 2, "x": 3}
+    whole = "".join(words)
+    scores = {c: rng.uniform(-4, -1) for c in "abé"}
+    while len(scores) < 60:
+        i = rng.randrange(len(whole) - 6)
+        scores[whole[i: i + rng.randint(2, 6)]] = rng.uniform(-9, -3)
+    unknown = min(scores.values()) - unigram.UNKNOWN_PENALTY
+    want = {}
+    for word, freq in words.items():
+        for piece, n in unigram.word_expectations(word, scores, unknown)[0].items():
+            if piece in scores:
+                want[piece] = want.get(piece, 0) + freq * n
+    frame = spark.createDataFrame(list(words.items()), "word string, freq long").repartition(4)
+    table = spark.createDataFrame(list(scores.items()), "piece string, score double")
+    got = {r[0]: r[1] for r in unigram.expected_counts(frame, table).collect()}
+    assert got.keys() == want.keys() and all(got[p] == pytest.approx(want[p]) for p in got)
+
+
+def test_pruning_keeps_what_costs_most(spark):
+    rng = random.Random(8)
+    counts = {c: rng.randint(100, 900) for c in "abc"}
+    while len(counts) < 40:
+        counts.setdefault("".join(rng.choice("abc") for _ in range(rng.randint(2, 6))), rng.randint(1, 60))
+    table = unigram.Pieces.of(spark.createDataFrame(list(counts.items()), "piece string, n long"))
+    scores = {p: math.log(n) - math.log(sum(counts.values())) for p, n in counts.items()}
+    assert {r["piece"]: pytest.approx(r["score"]) for r in table.scores.collect()} == scores
+    assert (table.size, table.chars) == (40, 3) and table.unknown == pytest.approx(min(scores.values()) - 10)
+    loss = {p: round(n * (scores[p] - unigram.best_pieces(p, scores, table.unknown, without=p)[1]), 6) for p, n in counts.items() if len(p) > 1}
+    want = set("abc") | set(sorted(loss, key=lambda p: (-loss[p], p))[:12])
+    assert {r["piece"] for r in unigram._pruned(table, 15).counts.collect()} == want
+
+
 def test_too_many_characters(spark):
     words = spark.createDataFrame([("abcdef", 2)], "word string, freq long")
     with pytest.raises(ValueError):
