@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusblocks.functions.ids import FIRST_BYTE_ID, UNK_ID, without_markers
 from corpusblocks.functions.text import WORD_MARK
+from corpusblocks.functions.vectors import with_let
 from corpusblocks.session import join_lookup
 
 # A task remembers this many words, none longer than CACHED_LENGTH, before it
@@ -137,9 +138,52 @@ def encoder(tokenizer):
     return encode
 
 
+# Code points from here on stand for ids while characters are translated.
+_FIRST_CODE = 0xF0000
+
+
+def character_ids(line: Column, ids: dict[str, int]) -> Column:
+    """Ids of a line under a vocabulary without merges, as an expression.
+
+    Every word gets its mark, and all characters are translated at once into code points
+    that stand for their ids; lines with characters outside the vocabulary go character by
+    character, those becoming their bytes.
+    """
+    letters = "".join(ids)
+    codes = "".join(chr(_FIRST_CODE + i) for i in ids.values())
+    words = F.filter(F.split(F.coalesce(line, F.lit("")), " "), lambda w: w != "")
+    marked = F.array_join(F.transform(words, lambda w: F.concat(F.lit(WORD_MARK), w)), "")
+
+    def coded(text: Column) -> Column:
+        return F.transform(F.split(F.translate(text, letters, codes), ""), lambda c: F.ascii(c) - _FIRST_CODE)
+
+    def by_character(text: Column) -> Column:
+        each = F.transform(F.split(text, ""), lambda c: F.when(
+            F.instr(F.lit(letters), c) > 0, coded(c)
+        ).otherwise(utf8_ids(c)))
+        return F.flatten(each)
+
+    return with_let(marked, lambda text: F.when(text == "", F.array().cast("array<int>")).when(
+        F.translate(text, letters, "") == "", coded(text)
+    ).otherwise(by_character(text)))
+
+
+def line_ids(line: Column, tokenizer) -> Column:
+    """Ids of a line, without markers.
+
+    Without merges this is an expression. With merges, words are segmented where they first
+    occur in a task and copied from there on, which only a function with a memory can do;
+    segmenting every occurrence anew inside the row costs a multiple.
+    """
+    largest = len(getattr(tokenizer, "ids", ())) + FIRST_BYTE_ID + 256
+    if isinstance(tokenizer, Tokenizer) and not tokenizer.merges and largest < 0x110000 - _FIRST_CODE:
+        return character_ids(line, tokenizer.ids)
+    return encoder(tokenizer)(line)
+
+
 def encode_lines(lines: DataFrame, tokenizer: Tokenizer, line: str = "line", out: str = "ids") -> DataFrame:
     """Replace the text column of ``lines`` by its ids; a narrow operation."""
-    return lines.withColumn(out, encoder(tokenizer)(F.col(line))).drop(line)
+    return lines.withColumn(out, line_ids(F.col(line), tokenizer)).drop(line)
 
 
 def utf8_ids(ch: Column) -> Column:

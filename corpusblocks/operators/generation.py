@@ -14,6 +14,8 @@ from corpusblocks.session import join_lookup, materialize
 # Pairs of a model whose sparse contexts may be broadcast.
 BROADCAST_PAIRS = 2_000_000
 ROUNDS_PER_CUT = 4
+# Token ids of a vocabulary whose best successors travel as a constant.
+CONSTANT_IDS = 200_000
 
 
 def _continue(prompts: DataFrame, table: DataFrame, fits: bool, rounds: int, choose) -> DataFrame:
@@ -54,6 +56,18 @@ def _continue(prompts: DataFrame, table: DataFrame, fits: bool, rounds: int, cho
     return state.drop("_last", "_done")
 
 
+def _followed(prompts: DataFrame, following: list[int], rounds: int) -> DataFrame:
+    """Add ``generated`` in one pass: a walk in the row along ``following``, a constant indexed by token."""
+    constant = f"cast(split('{','.join(map(str, following))}', ',') AS array<int>)"
+    walk = f"""aggregate(sequence(1, {rounds}),
+      struct(element_at(ids, -1) AS last, cast(array() AS array<int>) AS made, false AS done),
+      (s, i) -> CASE WHEN s.done OR get({constant}, s.last) = {EOS_ID} THEN struct(s.last AS last, s.made AS made, true AS done)
+        ELSE struct(get({constant}, s.last) AS last, concat(s.made, array(get({constant}, s.last))) AS made, false AS done) END,
+      s -> s.made)"""
+    made = F.expr(walk) if rounds > 0 else F.array().cast("array<int>")
+    return prompts.withColumn("generated", made)
+
+
 def continue_greedy(prompts: DataFrame, model: ContextModel, max_new_tokens: int) -> DataFrame:
     """Add ``generated``: the most probable token each time, ended before the end marker.
 
@@ -63,6 +77,10 @@ def continue_greedy(prompts: DataFrame, model: ContextModel, max_new_tokens: int
     best = vec.argmax(model.logits(F.col("c"), F.col("by_target")))
     table = materialize(model.table.select(F.col("input_id").alias("_last"), best.alias("_best")), "best_tokens")
     other = max(range(len(model.p1)), key=lambda i: (model.p1[i], -i)) if model.p1 else None
+    if 0 < len(model.p1) <= CONSTANT_IDS:
+        # One row per context, no more than the vocabulary.
+        best_of = {r["_last"]: r["_best"] for r in table.collect()}
+        return _followed(prompts, [best_of.get(i, other) for i in range(len(model.p1))], max_new_tokens)
     choose = lambda step: F.coalesce("_best", F.lit(other))
     return _continue(prompts, table, len(model.p1) <= BROADCAST_PAIRS, max_new_tokens, choose)
 

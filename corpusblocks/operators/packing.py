@@ -13,6 +13,7 @@ SEQ_LEN = 256
 BLOCKS_PER_SHARD = 8192
 # Shards that share a file: about 128 MB of ids at the defaults.
 SHARDS_PER_FILE = 32
+RUNS_PER_CORE = 4
 
 
 def _div(value: Column, by: int) -> Column:
@@ -44,12 +45,16 @@ def pack_blocks(
     filling of a buffer equals cutting at multiples of ``seq_len``, so once the
     offset of an example is known, its pieces are known without looking at its
     neighbours. Pieces are shuffled by ``shard_run``, the shards that share a
-    file: the same exchange serves the gathering of blocks and a later write.
+    file: the same exchange serves the gathering of blocks and a later write. A corpus
+    with few shards has shorter runs, so that every core gathers.
 
-    ``examples`` is read twice (totals and payload); materialize it first when
+    ``examples`` is read three times (lengths twice, payload once); materialize it first when
     it is expensive to compute.
     """
     (split,) = order.group
+    tokens = examples.agg(F.sum(F.size(ids).cast("bigint"))).first()[0] or 0
+    shards = tokens // (seq_len * blocks_per_shard)
+    per_run = min(SHARDS_PER_FILE, max(1, shards // (RUNS_PER_CORE * examples.sparkSession.sparkContext.defaultParallelism)))
     placed = token_offsets(examples.where(F.size(ids) > 0), order, ids)
     first, size = F.col("first_token"), F.size(ids)
     last = first + size - 1
@@ -67,7 +72,7 @@ def pack_blocks(
     blocks = (
         placed.select(split, F.inline(pieces))
         .withColumn("shard_id", shard)
-        .withColumn("shard_run", _div(F.col("shard_id"), SHARDS_PER_FILE))
+        .withColumn("shard_run", _div(F.col("shard_id"), per_run))
         .repartition(split, "shard_run")
         .groupBy(split, "shard_run", "shard_id", "block_id")
         .agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("pieces"))

@@ -66,19 +66,19 @@ def last_rows(log: DataFrame) -> DataFrame:
 
 
 def checkpoint_records(
-    log: DataFrame, eval_every: int, save_every: int, metric: str = "perplexity", config: str | None = None,
-    learning_rate: float | None = None,
+    log: DataFrame, eval_every: int, save_every: int, metric: str = "perplexity",
+    config: Column | str | None = None, learning_rate: float | None = None,
 ) -> DataFrame:
     """The records a run leaves behind: ``(kind, …log columns, config, learning_rate)``, kind best, last or summary.
 
     Best is chosen among evaluated steps, last among saved steps; the summary holds the
-    final step. All carry the model configuration (JSON), last the learning rate as well.
+    final step. All carry the model configuration (JSON, one text or an expression over the
+    log's columns), last the learning rate as well.
     """
     best = best_rows(evaluation_rows(log, eval_every), metric).withColumn("kind", F.lit("best"))
     last = last_rows(save_rows(log, save_every)).withColumn("kind", F.lit("last"))
     steps = log.groupBy("run_id").agg(F.max("step").alias("step")).withColumn("kind", F.lit("summary"))
     records = best.unionByName(last).unionByName(steps, allowMissingColumns=True)
     rate = F.when(F.col("kind") == "last", F.lit(learning_rate).cast("double"))
-    return records.select(
-        "kind", *log.columns, F.lit(config).cast("string").alias("config"), rate.alias("learning_rate")
-    )
+    config = config if isinstance(config, Column) else F.lit(config)
+    return records.select("kind", *log.columns, config.cast("string").alias("config"), rate.alias("learning_rate"))

@@ -30,9 +30,9 @@ CONTEXT = 64
 SMOOTHING = 1.0
 TEMPERATURE, TOP_K, TOP_P, PENALTY = 0.9, 40, 0.95, 1.05
 EVAL_EVERY, SAVE_EVERY = 200, 500
-NEW_TOKENS, SAMPLED_TOKENS = 8, 5
+NEW_TOKENS, SAMPLED_TOKENS = 120, 5
 CONFIG = {"k": 0, "n_layers": 7, "dropout": 0.5}
-RUN_CONFIG, LEARNING_RATE = '{"seq_len": 128, "d_model": 64, "dropout": 0.1}', 3e-4
+LEARNING_RATE = 3e-4
 
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
@@ -89,9 +89,18 @@ def _log(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/events.parquet").select(
         F.col("user_id").alias("run_id"), (F.col("event_id") + 1).alias("step"),
         F.log("value").alias("loss"), F.col("value").alias("perplexity"),
+        ((F.col("event_id") + 1) * bat.TARGET_BATCH_TOKENS).alias("tokens"),
     )
 
 
+def _run_config():
+    """The configuration of a run as JSON; fields left out take their defaults."""
+    return F.to_json(F.struct(
+        (64 * (1 + F.col("run_id") % 4)).alias("seq_len"), (32 * (1 + F.col("run_id") % 3)).alias("d_model"),
+        F.when(F.col("run_id") % 2 == 0, 0.1).alias("dropout"),
+    ))
+
+
 def _long(scores: DataFrame, vector: str, name: str, digits: int = 6) -> DataFrame:
     rows = scores.select("ctx_id", F.posexplode(vector).alias("token_id", "v"))
     return rows.select("ctx_id", "token_id", F.round("v", digits).alias(name))
@@ -276,7 +285,7 @@ def id_lookup(spark, sf):
 def roundtrip_audit(spark, sf):
     lines = _lines(spark, sf)
     trained = _tokenizer(spark, sf)
-    encoded = lines.withColumn("ids", codec.encoder(trained.tokenizer)(F.col("line")))
+    encoded = lines.withColumn("ids", codec.line_ids(F.col("line"), trained.tokenizer))
     decoded = codec.decode_ids(encoded, trained.vocab)
     same = F.trim("line") == F.trim("text")
     return decoded.groupBy("split").agg(
@@ -596,20 +605,29 @@ def last_checkpoint(spark, sf):
     return log_ops.last_rows(_log(spark, sf)).select("run_id", "step", "perplexity")
 
 
+def _records(spark, sf):
+    return log_ops.checkpoint_records(
+        _log(spark, sf), EVAL_EVERY, SAVE_EVERY, config=_run_config(), learning_rate=LEARNING_RATE
+    )
+
+
 def checkpoint_records(spark, sf):
-    records = log_ops.checkpoint_records(_log(spark, sf), EVAL_EVERY, SAVE_EVERY)
-    return records.select("kind", "run_id", "step", "perplexity")
+    """The records with what they nest, as a reader of the written documents finds them."""
+    path = scratch_path(spark, "records")
+    log_src.write_records(_records(spark, sf), path)
+    records = log_src.read_records(spark, path)
+    return records.select(
+        "kind", "run_id", "step", F.round("val.loss", 6).alias("val_loss"), F.col("val.perplexity").alias("val_perplexity"),
+        F.col("val.tokens").alias("val_tokens"), F.col("config.seq_len").alias("seq_len"),
+        F.col("config.dropout").alias("dropout"), "learning_rate",
+    )
 
 
 def _stored_log(spark, sf):
     """The log and its checkpoint records as a reader finds them."""
     path = scratch_path(spark, "runlog")
-    log = _log(spark, sf)
-    log_src.append_runlog(log_ops.evaluation_rows(log, EVAL_EVERY), path)
-    records = log_ops.checkpoint_records(
-        log, EVAL_EVERY, SAVE_EVERY, config=RUN_CONFIG, learning_rate=LEARNING_RATE
-    )
-    log_src.append_runlog(records, path)
+    log_src.append_runlog(log_ops.evaluation_rows(_log(spark, sf), EVAL_EVERY), path)
+    log_src.append_runlog(_records(spark, sf), path)
     return log_src.read_runlog(spark, path)
 
 

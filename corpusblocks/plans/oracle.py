@@ -238,7 +238,13 @@ s{i + 1} AS MATERIALIZED (
 
 
 def _greedy_rounds(rounds: int) -> str:
-    return ",".join(_next_state(i, "LEFT JOIN best ON a = last") for i in range(rounds))
+    return f"""
+greedy AS (
+  SELECT conv_id, turn, 0 AS i, last, gen, done FROM s0
+  UNION ALL
+  SELECT conv_id, turn, i + 1, CASE WHEN b = 3 THEN last ELSE b END, CASE WHEN b = 3 THEN gen ELSE list_append(gen, b) END, b = 3
+  FROM greedy JOIN best ON a = last WHERE i < {rounds} AND NOT done),
+continued AS (SELECT conv_id, turn, arg_max(gen, i) AS gen FROM greedy GROUP BY conv_id, turn)"""
 
 
 def _sampled_rounds(rounds: int, top_p: float) -> str:
@@ -267,6 +273,8 @@ h{i} AS MATERIALIZED (
 
 _LOG = """
 runlog AS (SELECT user_id AS run_id, event_id + 1 AS step, value AS perplexity FROM events)"""
+_RUN_CONFIG = """1024::BIGINT AS vocab_size, 64 * (1 + run_id % 4) AS seq_len, 32 * (1 + run_id % 3) AS d_model,
+  7::BIGINT AS n_layers, 4::BIGINT AS n_heads, CASE WHEN run_id % 2 = 0 THEN 0.1 ELSE 0 END::DOUBLE AS dropout"""
 
 _RECORDS = f"""
 records AS (
@@ -476,7 +484,7 @@ GROUP BY ctx_id""", _SCORES, _FULL_FILTER),
 SELECT conv_id, turn, array_to_string(gen, ',') AS generated,
   regexp_replace(replace(array_to_string(list_transform(list_filter(gen, lambda x: x NOT IN (0, 2, 3)),
     lambda x: surface[x + 1]), ''), '{_MARK}', ' '), '^ ', '') AS text
-FROM s{c.NEW_TOKENS}, (SELECT list(piece ORDER BY token_id) AS surface FROM vocab)""",
+FROM continued, (SELECT list(piece ORDER BY token_id) AS surface FROM vocab)""",
             *_ASKED, _BLOCKS, _model("blocks", "tokens", "split"), _PROMPTS, _DENSE, _greedy_rounds(c.NEW_TOKENS)),
         "sampled_continuation": _with(
             f"SELECT conv_id, turn, array_to_string(gen, ',') AS generated FROM s{c.SAMPLED_TOKENS}",
@@ -496,7 +504,12 @@ WHERE previous_best IS NULL OR perplexity < previous_best""", _LOG),
             "SELECT * FROM runlog QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY perplexity, step) = 1", _LOG),
         "last_checkpoint": _with(
             "SELECT * FROM runlog QUALIFY row_number() OVER (PARTITION BY run_id ORDER BY step DESC) = 1", _LOG),
-        "checkpoint_records": _with("SELECT kind, run_id, step, perplexity FROM records", _LOG, _RECORDS),
+        "checkpoint_records": _with(f"""
+SELECT kind, run_id, step, CASE WHEN kind = 'best' THEN round(ln(perplexity), 6) END AS val_loss,
+  CASE WHEN kind = 'best' THEN perplexity END AS val_perplexity,
+  CASE WHEN kind = 'best' THEN step * {_TARGET_BATCH_TOKENS} END AS val_tokens, seq_len, dropout,
+  CASE WHEN kind = 'last' THEN {c.LEARNING_RATE}::DOUBLE END AS learning_rate
+FROM (SELECT *, {_RUN_CONFIG} FROM records)""", _LOG, _RECORDS),
         "runlog_sink": _with(f"""
 SELECT run_id, count(*) AS records, count(kind) AS checkpoints, max(step) AS last_step, count(kind) AS with_config,
   round(sum(CASE WHEN kind = 'last' THEN {c.LEARNING_RATE}::DOUBLE END), 6) AS learning_rates
@@ -504,8 +517,7 @@ FROM (SELECT kind, run_id, step FROM records
   UNION ALL SELECT NULL, run_id, step FROM runlog WHERE step % {c.EVAL_EVERY} = 0 OR step = 1) GROUP BY run_id""",
             _LOG, _RECORDS),
         "checkpoint_configs": _with(
-            "SELECT kind, run_id, step, 1024::BIGINT AS vocab_size, 128::BIGINT AS seq_len, 64::BIGINT AS d_model, "
-            "7::BIGINT AS n_layers, 4::BIGINT AS n_heads, 0.1::DOUBLE AS dropout FROM records", _LOG, _RECORDS),
+            f"SELECT kind, run_id, step, {_RUN_CONFIG} FROM records", _LOG, _RECORDS),
         "config_defaults": "SELECT event_id, " + ", ".join(
             f"coalesce(CAST(json_extract_string(props, '$.{name}') AS "
             f"{'DOUBLE' if isinstance(value, float) else 'BIGINT'}), {value}) AS {name}"

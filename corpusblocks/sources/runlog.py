@@ -48,6 +48,36 @@ def read_runlog(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUNLOG_SCHEMA).parquet(path)
 
 
+# Fixed value: what a record nests. ``val`` stands in best records, ``learning_rate`` in last ones.
+RECORD_SCHEMA = (
+    "kind string, run_id bigint, step bigint, val struct<loss: double, perplexity: double, tokens: bigint>, "
+    "config struct<vocab_size: bigint, seq_len: bigint, d_model: bigint, n_layers: bigint, n_heads: bigint, dropout: double>, "
+    "learning_rate double"
+)
+
+
+def write_records(records: DataFrame, path: str) -> None:
+    """Write checkpoint records as JSON documents, a folder per kind.
+
+    The evaluation of a best record is nested under ``val``, the configuration, completed by
+    the defaults, under ``config``.
+    """
+    have = set(records.columns)
+    value = F.struct(*[
+        (F.col(n) if n in have else F.lit(None)).cast(t).alias(n)
+        for n, t in (("loss", "double"), ("perplexity", "double"), ("tokens", "bigint"))
+    ])
+    records.select(
+        "kind", "run_id", "step", F.when(F.col("kind") == "best", value).alias("val"),
+        F.struct(*with_defaults(F.col("config"), CONFIG_DEFAULTS)).alias("config"), "learning_rate",
+    ).write.mode("overwrite").partitionBy("kind").json(path)
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """Checkpoint records with ``val`` and ``config`` nested."""
+    return spark.read.schema(RECORD_SCHEMA).json(path)
+
+
 def _sql_type(value) -> str:
     return {int: "bigint", float: "double", str: "string", bool: "boolean"}[type(value)]
 

@@ -255,3 +255,19 @@ def test_scratch_is_shared_and_released(spark):
     assert os.path.exists(file.removeprefix("file://"))
     # Other tests keep their tables below the same folder: only its name is checked here.
     assert f"corpusblocks-{spark.sparkContext.applicationId}" in file and callable(release)
+
+
+def test_character_ids_equal_the_segmenter(spark):
+    """Encoding without merges is an expression: no Python node, and the ids of the plain segmenter."""
+    from corpusblocks.operators import codec
+
+    ids = {c: 260 + i for i, c in enumerate("▁abcé😀" + chr(0xF0104) + "$\\")}
+    tokenizer = codec.Tokenizer((), ids)
+    segment = tokenizer.segmenter()
+    texts = ["", "  ", "abc", "a  b   c", "é😀 b", "xyz", "a x b日", chr(0xF0104), chr(0xF0105) + "a", "a\tb", "▁ ▁a", "$a\\ $", "a" * 3000]
+    frame = spark.createDataFrame([(t,) for t in [*texts, None]], "line string")
+    encoded = frame.withColumn("ids", codec.line_ids(F.col("line"), tokenizer))
+    assert "Python" not in encoded._jdf.queryExecution().toString()
+    for r in encoded.collect():
+        want = [i for w in (r["line"] or "").split(" ") if w for i in segment("▁" + w)]
+        assert r["ids"] == want, r["line"]
