@@ -43,9 +43,12 @@ LONG = 64
 # The word pattern and the white space of the vocabulary file.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 WORD_END = "</w>"
-_SEPARATORS = re.compile(r"[\x1c-\x1f]")
+#: What ``str.split`` takes for white space and the vocabulary does not.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 START = -1
+#: No token, and a token still to be looked up.
+NONE, LOOK = -1, -2
 
 
 def _byte_letters() -> dict[str, int]:
@@ -76,12 +79,14 @@ class MergeAutomaton:
         for rank, (u, v, made) in enumerate(merges):
             if made != u and made != v and self.born[made] < 0 and len(labels[made]) > 1:
                 self._gadget(rank, u, v, made)
-        self.starts: dict[str, int] = {}  # all starts of labels; the token that a start is, or -1
-        for token, label in enumerate(labels):
-            if label and self._live(token):
-                for k in range(1, len(label)):
-                    self.starts.setdefault(label[:k], -1)
-                self.starts[label] = token
+        self.tokens = {label: token for token, label in enumerate(labels) if label and self._live(token)}
+        self.shorter = [NONE] * len(labels)  # the longest other token at the start of the token's label
+        for label, token in self.tokens.items():
+            starts = (self.tokens.get(label[:k]) for k in range(len(label) - 1, 0, -1))
+            self.shorter[token] = next((t for t in starts if t is not None), NONE)
+        self.reach: dict[str, int] = {}  # the longest label by its first three symbols
+        for label in self.tokens:
+            self.reach[label[:3]] = max(self.reach.get(label[:3], 0), len(label))
 
     def _gadget(self, rank: int, u: int, v: int, made: int) -> None:
         if not (self._live(u) and self._live(v) and self._has(u, v, rank)):
@@ -116,41 +121,38 @@ class MergeAutomaton:
             found = self.table[key] = self._has(state, token, self.final)
         return found
 
-    def _labels_at(self, word: str, place: int) -> list[int]:
-        """Tokens whose label stands at a place, the longest last."""
-        found, starts = [], self.starts
-        for end in range(place + 1, len(word) + 1):
-            token = starts.get(word[place:end])
-            if token is None:
-                break
-            if token >= 0:
-                found.append(token)
-        return found
-
     def run(self, word: str) -> list[int]:
         """Ids of the accepting path of a word of base symbols.
 
-        Long labels are tried first. There is one accepting path, so a place and state from
-        which the end was not reached are never tried again.
+        Long labels are tried first, and shorter ones only when the path behind a longer one ended. There
+        is one accepting path, so a place and state from which the end was not reached are never tried again.
         """
+        tokens, table, reach, size = self.tokens.get, self.table.get, self.reach.get, len(word)
+        lengths, shorter = self.lengths, self.shorter
         path: list[int] = []
-        choices = [self._labels_at(word, 0)]
-        place, state, dead = 0, START, set()
-        while place < len(word):
-            options = choices[-1]
-            while options:
-                token = options.pop()
-                after = place + self.lengths[token]
-                if (state == START or self.arc(state, token)) and (after, token) not in dead:
-                    path.append(token)
-                    place, state = after, token
-                    choices.append(self._labels_at(word, place))
+        dead: set[tuple[int, int]] = set()
+        place, state, token = 0, START, LOOK
+        while place < size:
+            if token == LOOK:
+                end = min(size, place + reach(word[place : place + 3], 2))
+                token = tokens(word[place:end])
+                while token is None:
+                    end -= 1
+                    token = tokens(word[place:end]) if end > place else NONE
+            while token != NONE:
+                led = True if state == START else table((state << 32) + token)
+                if led is None:
+                    led = self.arc(state, token)
+                if led and not (dead and (place + lengths[token], token) in dead):
                     break
+                token = shorter[token]
+            if token != NONE:
+                path.append(token)
+                place, state, token = place + lengths[token], token, LOOK
             else:
-                choices.pop()
                 dead.add((place, state))
-                place -= self.lengths[path.pop()]
-                state = path[-1] if path else START
+                last = path.pop()
+                place, state, token = place - lengths[last], path[-1] if path else START, shorter[last]
         return path
 
 
@@ -218,22 +220,24 @@ class WordTokenizer:
         ids = self.pieces.get(piece)
         if ids is not None:
             return ids
-        parts = []
-        for word in self.words.findall(piece):
-            path = self.paths.get(word)
-            if path is None:
-                raw = word.encode("utf-8").decode("latin-1")
-                path = array("i", self.automaton.run(raw[:-1] + chr(ord(raw[-1]) + 256))).tobytes()
-                self.paths.put(word, path)
-            parts.append(path)
-        ids = b"".join(parts)
+        if piece.isascii() and piece.isalpha():  # one word of the pattern
+            ids = self.paths.get(piece) or self._word(piece)
+        else:
+            ids = b"".join([self.paths.get(word) or self._word(word) for word in self.words.findall(piece)])
         self.pieces.put(piece, ids)
         return ids
 
+    def _word(self, word: str) -> bytes:
+        """Ids of a word of the pattern."""
+        raw = word if word.isascii() else word.encode("utf-8").decode("latin-1")
+        path = array("i", self.automaton.run(raw[:-1] + chr(ord(raw[-1]) + 256))).tobytes()
+        self.paths.put(word, path)
+        return path
+
     def _plain(self, text: str) -> bytes:
         # Lower-casing goes character by character: no special form for a sigma at the end of a word.
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        found = self.blank.split(text) if _SEPARATORS.search(text) else text.split()
+        found = self.blank.split(text) if any(c in text for c in SEPARATORS) else text.split()
         known = self.pieces.new.get
         return b"".join([known(p) or self._piece(p) for p in found])
 
