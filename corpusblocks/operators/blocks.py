@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusblocks.functions import ids as idf
 from corpusblocks.operators.prefix import Order, dense_levels, exclusive_prefix
-from corpusblocks.sources.shards import SHARDS_PER_FOLDER, shard_name
+from corpusblocks.session import materialize
+from corpusblocks.sources.shards import shard_group, shard_name
+
+# Folders of shards that a fetch names one by one; the filter becomes one range beyond.
+NAMED_FOLDERS = 256
 
 
 def shard_manifest(blocks: DataFrame, seq_len: int | None = None) -> DataFrame:
@@ -110,21 +114,41 @@ def require_located(located: DataFrame, index: str = "block_index") -> None:
         raise IndexError(f"block index out of range: {miss[0].asDict()}")
 
 
+def asked_shards(requests: DataFrame, folders: int = NAMED_FOLDERS) -> tuple[Column, Column] | None:
+    """Conditions on ``(shard_group, shard_id)`` that hold for every shard of ``requests``; None without any.
+
+    Up to ``folders`` folders are named, each with its range of shards. Which form is taken changes
+    what is scanned, not what is found.
+    """
+    found = requests.where("shard_id is not null").groupBy(shard_group(F.col("shard_id")).alias("folder"))
+    ranges = materialize(found.agg(F.min("shard_id").alias("low"), F.max("shard_id").alias("high")), "asked")
+    rows = ranges.orderBy("folder").limit(folders + 1).collect()
+    if not rows:
+        return None
+    if len(rows) > folders:
+        first, last, low, high = ranges.agg(F.min("folder"), F.max("folder"), F.min("low"), F.max("high")).first()
+        return F.col("shard_group").between(first, last), F.col("shard_id").between(low, high)
+    shards = F.lit(False)
+    for r in rows:
+        shards |= F.col("shard_id").between(r["low"], r["high"])
+    return F.col("shard_group").isin([r["folder"] for r in rows]), shards
+
+
 def fetch(requests: DataFrame, blocks: DataFrame, index: str = "block_index") -> DataFrame:
     """Tokens of requested blocks, one row per request that is in range.
 
     Requests that went through ``locate`` are joined by shard and position. Of stored
-    blocks only the range of shards that is asked for is scanned: the range is one
-    aggregation over the requests, and files and row groups are sorted by shard.
+    blocks only the folders that are asked for are scanned, and in them the row groups
+    of the range of shards asked of each (``asked_shards``).
     """
     if {"shard_id", "local_index"} <= set(requests.columns):
         keys = ["split", "shard_id", "local_index"]
-        low, high = requests.agg(F.min("shard_id"), F.max("shard_id")).first()
-        if low is None:
+        asked = asked_shards(requests)
+        if asked is None:
             return requests.join(blocks.select(*keys, "tokens").limit(0), keys)
-        near = F.col("shard_id").between(low, high)
+        folders, near = asked
         if "shard_group" in blocks.columns:
-            near &= F.col("shard_group").between(low // SHARDS_PER_FOLDER, high // SHARDS_PER_FOLDER)
+            near &= folders
         return requests.join(blocks.where(near).select(*keys, "tokens"), keys)
     wanted = requests.withColumn("block_id", F.col(index))
     return wanted.join(blocks.select("split", "block_id", "tokens"), ["split", "block_id"]).drop("block_id")

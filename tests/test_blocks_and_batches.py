@@ -81,6 +81,27 @@ def test_fetch_returns_a_row_per_request(spark, blocks):
     assert again == got
 
 
+def test_fetch_names_the_folders_it_reads(spark, tmp_path):
+    rows = [(s, s, 0, [s, s + 1], "train") for s in (0, 1, 5_000, 10_000)]
+    stored = spark.createDataFrame(rows, "shard_id long, block_id long, local_index long, tokens array<int>, split string")
+    shards.write_shards(stored, str(tmp_path / "packed"))
+    packed = shards.read_shards(spark, str(tmp_path / "packed"))
+    asked = [("train", 0, 0), ("train", 10_000, 0), ("train", 10_000, 7), ("train", None, None)]
+    requests = spark.createDataFrame(asked, "split string, shard_id long, local_index long")
+    got = blk.fetch(requests, packed)
+    assert sorted(r["tokens"] for r in got.collect()) == [[0, 1], [10_000, 10_001]]
+    folders, near = blk.asked_shards(requests)
+    read = {r[0] for r in packed.where(folders).select("shard_id").collect()}
+    assert read == {0, 1, 10_000}
+    assert {r[0] for r in packed.where(folders & near).select("shard_id").collect()} == {0, 10_000}
+    plan = got._jdf.queryExecution().explainString(got.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    filters = next(x for x in plan.splitlines() if "PartitionFilters" in x)
+    assert "shard_group" in filters and "IN (0,9)" in filters
+    wide = blk.asked_shards(requests, folders=1)
+    assert {r[0] for r in packed.where(wide[0] & wide[1]).select("shard_id").collect()} == {0, 1, 5_000, 10_000}
+    assert blk.fetch(requests.where("shard_id is null"), packed).count() == 0
+
+
 def test_batch_size():
     assert bat.batch_size(256) == 32 and bat.batch_size(10_000) == 1
     assert bat.batch_size(256, size=7) == 7 and bat.batch_size(256, size=0) == 32
