@@ -118,6 +118,34 @@ def test_index_with_several_shelves(spark, monkeypatch):
     assert bpe.learn_merges(table, 30) == one_at_a_time(words, 30)
 
 
+def test_words_are_stored_once(spark, monkeypatch):
+    """What learning writes and every round reads is one number per character, not a word per symbol boundary."""
+    written = []
+
+    def keep(df, name, by=()):
+        written.append(df.cache())
+        return written[-1]
+
+    monkeypatch.setattr(bpe, "materialize", keep)
+    monkeypatch.setattr(bpe, "MERGES_PER_CUT", 5)
+    rng = random.Random(5)
+    words = {"▁" + "".join(rng.choice("abcde") for _ in range(rng.randint(4, 12))): rng.randint(1, 50) for _ in range(200)}
+    table = spark.createDataFrame(list(words.items()), "word string, freq long")
+    assert bpe.learn_merges(table, 12) == one_at_a_time(words, 12)
+    characters = sum(map(len, words)) + len(words)
+    for df in written:
+        assert df.selectExpr("sum(length(symbols))").first()[0] <= 4 * characters
+        assert df.selectExpr("sum(length(freqs))").first()[0] <= 8 * len(words)
+        df.unpersist()
+
+
+def test_equal_symbols_merge_by_vectors_as_one_at_a_time(spark):
+    """Runs of one symbol, of any length, and words side by side that end and begin with it."""
+    words = {"a" * n: n for n in range(1, 12)} | {"b" + "a" * n + "b": 3 for n in range(1, 9)}
+    table = spark.createDataFrame(list(words.items()), "word string, freq long").coalesce(1)
+    assert bpe.learn_merges(table, 12) == one_at_a_time(words, 12)
+
+
 def test_learning_stops_when_pairs_run_out(spark):
     words = spark.createDataFrame([("ab", 2)], "word string, freq long")
     assert bpe.learn_merges(words, 10) == [("a", "b", 2)]
