@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from corpusblocks import session
 from corpusblocks.operators import bpe, codec, unigram
 from corpusblocks.plans import corpus
 from corpusblocks.sources import artifacts
@@ -115,6 +116,24 @@ def test_lattices_equal_the_plain_walk(spark):
     assert got.keys() == want.keys() and all(got[p] == pytest.approx(want[p]) for p in got)
 
 
+def test_substrings_are_joined_once_without_salted_copies(spark, monkeypatch):
+    """Scores that are too many for a broadcast: the same counts, substrings cross by piece once."""
+    monkeypatch.setattr(session, "holds_at_most", lambda df, rows: False)
+    monkeypatch.setattr(unigram, "holds_at_most", lambda df, rows: False, raising=False)
+    scores = {"a": -1.0, "b": -1.5, "ab": -2.0, "ba": -3.0, "abab": -4.0}
+    words = {"abab": 3, "bacab": 2, "b": 4}
+    want = {}
+    for word, freq in words.items():
+        for piece, n in unigram.word_expectations(word, scores, -20.0)[0].items():
+            want[piece] = want.get(piece, 0) + freq * n
+    frame = spark.createDataFrame(list(words.items()), "word string, freq long")
+    table = spark.createDataFrame(list(scores.items()), "piece string, score double")
+    found = unigram.expected_counts(frame, table, unknown=-20.0)
+    assert {r[0]: r[1] for r in found.collect()} == {p: pytest.approx(n) for p, n in want.items() if p in scores}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" not in plan and "LeftSemi, (piece" in plan and plan.count("LeftSemi") == 1
+
+
 def test_pruning_keeps_what_costs_most(spark):
     rng = random.Random(8)
     counts = {c: rng.randint(100, 900) for c in "abc"}
