@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from corpusblocks.functions.seeded import sort_key
 from corpusblocks.llm.common import packed, table, whole_text
 from corpusblocks.operators.prefix import Order, dense_levels, exclusive_prefix, hashed_levels
-from corpusblocks.session import join_lookup, materialize
+from corpusblocks.session import join_lookup, materialize, tidy
 
 WEIGHTS = (3, 1, 2)
 #: Share of all words that the mix holds, and how often a document may be taken.
@@ -64,6 +64,7 @@ def source_targets(
     return filled.select("source", "source_size", target.alias("target"))
 
 
+@tidy
 def mix(
     docs: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
@@ -111,6 +112,7 @@ def _cut(queued: DataFrame, share: float, entries: int) -> float | None:
     return merged.where(F.col("_before") + F.col("size") > share * budget).agg(F.min("finish")).first()[0]
 
 
+@tidy
 def mixed_documents(
     docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES, seed: int = SEED
 ) -> DataFrame:
@@ -133,6 +135,7 @@ def mixed_documents(
     return rows.orderBy("_finish", "_key", "_tie").select("_row.*")
 
 
+@tidy
 def op9_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of 150 % of all words takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count().alias("size"))

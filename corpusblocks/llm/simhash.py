@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from corpusblocks.llm.common import add_columns, packed, table, whole_text
 from corpusblocks.llm.graph import connected_components
-from corpusblocks.session import join_lookup, materialize
+from corpusblocks.session import join_lookup, materialize, tidy
 
 WORDS = 3
 RADIUS = 3
@@ -182,6 +182,7 @@ def fingerprint_links(prints: DataFrame, radius: int = RADIUS, shard: int = SHAR
     return links
 
 
+@tidy
 def components(
     df: DataFrame, key: str = "doc_id", column: str = "text", words: int = WORDS, radius: int = RADIUS,
     shard: int = SHARD,
@@ -192,6 +193,7 @@ def components(
     return grouped(prints, key, radius, shard).select(key, "fingerprint", "component_id")
 
 
+@tidy
 def grouped(prints: DataFrame, key: str, radius: int = RADIUS, shard: int = SHARD) -> DataFrame:
     """Add ``component_id``, the smallest key of the component, to ``prints(key, fingerprint, ...)``."""
     distinct = materialize(prints.groupBy("fingerprint").agg(F.min(key).alias("_least")), "distinct")
@@ -214,6 +216,7 @@ def op8_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@tidy
 def one_per_group(df: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
     """The rows of ``df`` that stay when every component keeps one document.
 
