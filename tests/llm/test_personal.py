@@ -116,6 +116,15 @@ def test_what_is_learned_decides(spark, planted):
     assert personal.added_spans(broken, [], sure) == []
 
 
+def test_all_documents_are_learned_from(spark, monkeypatch):
+    """However many documents there are, none is left out of the training rows."""
+    seen = []
+    training_rows = personal._training_rows
+    monkeypatch.setattr(personal, "_training_rows", lambda docs: seen.append(docs.count()) or training_rows(docs))
+    personal.learn(spark.range(45_000).selectExpr("concat('boat ', id) AS text"))
+    assert seen == [45_000]
+
+
 def test_exported_trees_equal_mllib(spark, planted):
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector, vector_to_array
