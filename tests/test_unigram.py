@@ -148,6 +148,24 @@ def test_pruning_keeps_what_costs_most(spark):
     assert {r["piece"] for r in unigram._pruned(table, 15).counts.collect()} == want
 
 
+@pytest.mark.parametrize("options", [{}, {"coverage": 0.9, "seed_size": 60}])
+def test_fitting_by_vectors_equals_fitting_in_tables(spark, monkeypatch, options):
+    """Fits over shelves write no arcs, and find the pieces and scores of the joins of arcs."""
+    rng = random.Random(12)
+    stems = ["abc", "ab", "ca", "é😀", "ñ", "bcab"]
+    words = {"".join(rng.choices(stems, k=rng.randint(1, 4))): rng.randint(1, 9) for _ in range(60)} | {"ab" * 40: 2, "x": 1}
+    frame = spark.createDataFrame(list(words.items()), "word string, freq long")
+    written = []
+    write = unigram.materialize
+    monkeypatch.setattr(unigram, "materialize", lambda df, name: written.append(name) or write(df, name))
+    found = unigram.learn_unigram(frame, 20, **options)
+    assert "lattices" in written and "arcs" not in written
+    monkeypatch.setattr(unigram, "VECTOR_PIECES", 0)
+    want = dict(unigram.learn_unigram(frame, 20, **options))
+    assert "arcs" in written
+    assert dict(found) == {p: pytest.approx(s) for p, s in want.items()}
+
+
 def test_too_many_characters(spark):
     words = spark.createDataFrame([("abcdef", 2)], "word string, freq long")
     with pytest.raises(ValueError):
