@@ -167,6 +167,26 @@ def test_generation(spark, token_blocks, penalty):
         assert greedy[i] == out
 
 
+@pytest.mark.parametrize("settings", [
+    {"t": 0.9, "k": 4, "p": 0.9, "penalty": 1.4}, {"t": 0.0, "k": 0, "p": 0.5}, {"t": 1.0, "k": SIZE, "p": 1.0}, {"k": 3},
+])
+def test_sampling_in_one_pass_equals_joins(spark, token_blocks, monkeypatch, settings):
+    """Few counts: no table is written but the contexts, and the tokens are those of a join for every token."""
+    counts = likelihood.neighbour_counts(token_blocks[1].where("split = 'train'")).where("input_id <> 5")
+    model = likelihood.context_model(counts, SIZE)
+    prompts = [(i % 20, [2, i % SIZE]) for i in range(40)] + [(None, [7]), (41, None), (42, [10**6])]
+    pdf = spark.createDataFrame(prompts, "i long, ids array<int>")
+    written = []
+    write = generation.materialize
+    monkeypatch.setattr(generation, "materialize", lambda df, name: written.append(name) or write(df, name))
+    one = generation.continue_sampled(pdf, model, 6, ["i"], seed=3, **settings)
+    assert sorted(map(repr, one.collect())) and written == ["contexts"]
+    monkeypatch.setattr(generation, "BROADCAST_PAIRS", -1)
+    many = generation.continue_sampled(pdf, model, 6, ["i"], seed=3, **settings)
+    assert one.schema == many.schema
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, many.collect()))
+
+
 def test_lookup_join_is_the_same_with_salted_keys(spark):
     left = spark.range(500).selectExpr("id", "if(id % 3 = 0, 0, id % 40) as k")
     right = spark.range(30).selectExpr("id as k", "id * 2 as v")
