@@ -155,6 +155,15 @@ def test_one_example_longer_than_many_blocks_and_an_exact_fit(spark):
     assert packing.pack_blocks(df, documents.document_order(df), 2000).isEmpty()
 
 
+def test_short_blocks_cross_by_shard_not_one_by_one(spark):
+    """What is shuffled by runs of shards does not grow with the number of blocks."""
+    df = spark.createDataFrame([("train", 0, 0, list(range(50)))], "split string, doc_id long, line_no int, ids array<int>")
+    blocks = packing.pack_blocks(df, documents.document_order(df), 1, 20)
+    assert [r["tokens"] for r in blocks.orderBy("block_id").collect()] == [[i] for i in range(50)]
+    shipped = blocks._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[1]
+    assert "shard_id" in shipped and "block_id" not in shipped
+
+
 def test_empty_corpus(spark):
     df = spark.createDataFrame([], "split string, doc_id long, line_no int, ids array<int>")
     assert packing.pack_blocks(df, documents.document_order(df)).isEmpty()
