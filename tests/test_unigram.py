@@ -134,6 +134,27 @@ def test_substrings_are_joined_once_without_salted_copies(spark, monkeypatch):
     assert "_salt" not in plan and "LeftSemi, (piece" in plan and plan.count("LeftSemi") == 1
 
 
+def test_many_words_are_counted_in_parts(spark, monkeypatch):
+    """Substrings of many words are shuffled a part at a time, with the same seeds and expected counts."""
+    rng = random.Random(9)
+    words = {"".join(rng.choice("abc") for _ in range(rng.randint(1, 9))): rng.randint(1, 4) for _ in range(50)}
+    frame = spark.createDataFrame(list(words.items()), "word string, freq long")
+
+    def found():
+        pieces = unigram.initial_pieces(frame)
+        counts = unigram.expected_counts(frame, pieces.scores, unknown=pieces.unknown)
+        return [{r[0]: r[1] for r in rows.collect()} for rows in (pieces.counts, counts)]
+
+    whole = found()
+    written = []
+    write = unigram.materialize
+    monkeypatch.setattr(unigram, "materialize", lambda df, name: written.append(name) or write(df, name))
+    monkeypatch.setattr(unigram, "PART_WORDS", 20)
+    pieces, counts = found()
+    assert written.count("part") == 6
+    assert pieces == whole[0] and counts == {p: pytest.approx(n) for p, n in whole[1].items()}
+
+
 def test_pruning_keeps_what_costs_most(spark):
     rng = random.Random(8)
     counts = {c: rng.randint(100, 900) for c in "abc"}
